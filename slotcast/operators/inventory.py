@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
+from collections import defaultdict, deque
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from slotcast.constants import LIMITED_CLOSE_HOUR, LIMITED_HOURS, LIMITED_OPEN_HOUR
 from slotcast.functions.prefix import units_before
 from slotcast.functions.slots import floor_to_slot, midnight
+from slotcast.session import shuffle_partitions
 
 ITEM = ["store_id", "item_id"]
+TICK = [*ITEM, "tick"]
 UNITS_PER_BUCKET = 1024
 MINUTES_PER_HOUR = 60
 
@@ -77,45 +79,95 @@ def fifo_allocate(
     )
 
 
+REPLAY_INPUT = [
+    "store_id", "day", "item_id", "minute", "requested", "cooked", "opening",
+    "cook_time", "hold_time", "hours",
+]
 COUNTS = ["requested", "cooked", "on_hand", "sold", "wasted", "left_over", "in_progress"]
 
 
-def _replay_item(rows: pd.DataFrame) -> Iterator[tuple]:
-    """One item of one store on one day, in the order promote, cook, sell, expire per tick."""
-    by_tick = {r.minute: r for r in rows.itertuples(index=False)}
-    info = rows.iloc[0]
-    cook_minutes, hold_minutes = int(info.cook_time), info.hold_time * MINUTES_PER_HOUR
-    shelf: deque[list] = deque()
-    cooking: list[tuple] = []
-    if info.opening > 0:
-        shelf.append([int(info.opening), hold_minutes])
-    for minute in range(0, 24 * MINUTES_PER_HOUR, 15):
-        hour = minute // MINUTES_PER_HOUR
-        if info.hours == LIMITED_HOURS and not LIMITED_OPEN_HOUR <= hour < LIMITED_CLOSE_HOUR:
-            continue
-        event = by_tick.get(minute)
-        shelf.extend([q, expires] for q, ready, expires in cooking if ready <= minute)
-        cooking = [batch for batch in cooking if batch[1] > minute]
-        requested = int(event.requested) if event is not None else 0
-        cooked = int(event.cooked) if event is not None else 0
+def _replay_item(
+    requests: dict[int, int],
+    orders: dict[int, int],
+    opening: int,
+    cook_minutes: float,
+    hold_minutes: float,
+    ticks: range,
+) -> Iterator[tuple]:
+    """One item of one store on one day, in the order promote, cook, sell, expire per tick.
+
+    Batches of an item are ready and expire in the order they were started, so both queues are
+    read from the front. Ticks without stock, orders or requests give no row.
+    """
+    shelf: deque[list] = deque()  # [quantity, expires]
+    cooking: deque[tuple] = deque()  # (quantity, ready, expires)
+    on_hand, in_progress = opening, 0
+    if opening > 0:
+        shelf.append([opening, hold_minutes])
+    for minute in ticks:
+        while cooking and cooking[0][1] <= minute:
+            quantity, _, expires = cooking.popleft()
+            shelf.append([quantity, expires])
+            in_progress -= quantity
+            on_hand += quantity
+        requested, cooked = requests.get(minute, 0), orders.get(minute, 0)
         if cooked > 0:
             ready = minute + cook_minutes
             cooking.append((cooked, ready, ready + hold_minutes))
-        on_hand = sum(q for q, _ in shelf)
-        sold = wanted = min(requested, on_hand)
+            in_progress += cooked
+        if not (requested or cooked or on_hand):
+            continue
+        before = on_hand
+        wanted = sold = min(requested, on_hand)
         while wanted > 0:
             taken = min(wanted, shelf[0][0])
             shelf[0][0] -= taken
             wanted -= taken
             if shelf[0][0] == 0:
                 shelf.popleft()
-        wasted = sum(q for q, expires in shelf if expires <= minute)
-        shelf = deque(batch for batch in shelf if batch[1] > minute)
-        in_progress = sum(batch[0] for batch in cooking)
-        if requested or cooked or on_hand or wasted:
-            yield (
-                minute, requested, cooked, on_hand, sold, wasted, on_hand - sold - wasted, in_progress,
-            )
+        wasted = 0
+        while shelf and shelf[0][1] <= minute:
+            wasted += shelf.popleft()[0]
+        on_hand = before - sold - wasted
+        yield minute, requested, cooked, before, sold, wasted, on_hand, in_progress
+
+
+def _replay_store_days(rows: pd.DataFrame) -> pd.DataFrame:
+    """All items of some whole store-days."""
+    requests, orders = defaultdict(dict), defaultdict(dict)
+    facts = {}
+    for store, day, item, minute, requested, cooked, opening, cook, hold, hours in zip(
+        *(rows[c].tolist() for c in REPLAY_INPUT)
+    ):
+        key = store, day, item
+        requests[key][minute] = requested
+        orders[key][minute] = cooked
+        limited = hours == LIMITED_HOURS
+        opens = LIMITED_OPEN_HOUR if limited else 0
+        closes = LIMITED_CLOSE_HOUR if limited else 24
+        ticks = range(opens * MINUTES_PER_HOUR, closes * MINUTES_PER_HOUR, 15)
+        facts[key] = opening, cook, hold * MINUTES_PER_HOUR, ticks
+    out = [
+        (*key, *tick)
+        for key, fact in facts.items()
+        for tick in _replay_item(requests[key], orders[key], *fact)
+    ]
+    return pd.DataFrame(out, columns=["store_id", "day", "item_id", "minute", *COUNTS])
+
+
+def _replay_partition(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches sorted by store and day; the last store-day of a batch waits for the next batch."""
+    waiting = None
+    for rows in batches:
+        if waiting is not None:
+            rows = pd.concat([waiting, rows], ignore_index=True)
+        last = rows.iloc[-1]
+        open_day = (rows["store_id"] == last["store_id"]) & (rows["day"] == last["day"])
+        waiting = rows[open_day]
+        if not open_day.all():
+            yield _replay_store_days(rows[~open_day])
+    if waiting is not None:
+        yield _replay_store_days(waiting)
 
 
 def replay_ticks(
@@ -130,7 +182,7 @@ def replay_ticks(
     ``demand`` and ``cook_orders`` have (store_id, item_id, at, quantity), ``opening`` has
     (store_id, item_id, day, quantity) with food made at midnight. What is sold in a tick depends
     on the units requested, not on the single requests, so both logs are summed to ticks before
-    they are grouped: a store-day holds at most 96 rows per item. Food that is neither sold nor
+    they are spread by store and day: a store-day holds at most 96 rows per item. Food that is neither sold nor
     expired by the last tick stays in ``left_over`` or ``in_progress``. Ticks outside opening
     hours do not run; requests in them are neither sold nor missed.
     """
@@ -154,27 +206,32 @@ def replay_ticks(
         .join(items.select("item_id", "cook_time", "hold_time"), "item_id")
         .join(stores.select("store_id", "hours"), "store_id")
         .withColumn("minute", F.hour("tick") * MINUTES_PER_HOUR + F.minute("tick"))
-        .select(*ITEM, "day", "minute", "requested", "cooked", "opening", "cook_time", "hold_time", "hours")
+        .select(*REPLAY_INPUT)
     )
-
-    def replay(store_day: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for item_id, rows in store_day.groupby("item_id", sort=False):
-            out.extend((item_id, *tick) for tick in _replay_item(rows))
-        frame = pd.DataFrame(out, columns=["item_id", "minute", *COUNTS])
-        frame["store_id"] = store_day["store_id"].iloc[0]
-        frame["day"] = store_day["day"].iloc[0]
-        return frame[["store_id", "item_id", "day", "minute", *COUNTS]]
-
-    ids = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ticks.select(*ITEM).schema)
+    kind = {f.name: f.dataType.simpleString() for f in ticks.schema}
     counts = ", ".join(f"{c} bigint" for c in COUNTS)
-    replayed = ticks.groupBy("store_id", "day").applyInPandas(
-        replay, f"{ids}, day date, minute int, {counts}"
+    replayed = (
+        # A number of partitions of its own: the work per byte is too high to merge small ones.
+        ticks.repartition(shuffle_partitions(ticks.sparkSession), "store_id", "day")
+        .sortWithinPartitions("store_id", "day")
+        .mapInPandas(
+            _replay_partition,
+            f"store_id {kind['store_id']}, day date, item_id {kind['item_id']}, minute int, {counts}",
+        )
     )
     into_day = F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute"))
-    return replayed.select(
-        *ITEM, "day", (midnight("day") + into_day).alias("tick"), *COUNTS
+    return replayed.select(*ITEM, "day", (midnight("day") + into_day).alias("tick"), *COUNTS)
+
+
+def _queued(demand: DataFrame) -> DataFrame:
+    """Requests with their tick and the units requested before them in that tick."""
+    timed = (
+        demand.select(*ITEM, "id", "at", F.col("quantity").cast("bigint"))
+        .filter(F.col("quantity") > 0)
+        .withColumn("tick", floor_to_slot("at"))
+        .withColumn("second", F.minute("at") * 60 + F.second("at"))
     )
+    return units_before(timed, TICK, ["at", "id"], "quantity", ["second"], "before")
 
 
 def missed_requests(demand: DataFrame, ticks: DataFrame) -> DataFrame:
@@ -183,16 +240,9 @@ def missed_requests(demand: DataFrame, ticks: DataFrame) -> DataFrame:
     A request that is filled in part counts as sold, and its rest is not missed. A request is
     missed if the earlier requests of its tick already took all that was on hand.
     """
-    timed = (
-        demand.select(*ITEM, "id", "at", F.col("quantity").cast("bigint"))
-        .filter(F.col("quantity") > 0)
-        .withColumn("tick", floor_to_slot("at"))
-        .withColumn("second", F.minute("at") * 60 + F.second("at"))
-    )
-    key = [*ITEM, "tick"]
-    queued = units_before(timed, key, ["at", "id"], "quantity", ["second"], "before")
     return (
-        queued.join(ticks.select(*key, "on_hand"), key)
+        _queued(demand)
+        .join(ticks.select(*TICK, "on_hand"), TICK)
         .filter(F.col("before") >= F.col("on_hand"))
         .select(*ITEM, "id", "tick", "quantity")
     )
@@ -205,11 +255,15 @@ def inventory_replay(
     stores: DataFrame,
     opening: DataFrame | None = None,
 ) -> DataFrame:
-    """:func:`replay_ticks` with the units of missed requests per tick."""
+    """:func:`replay_ticks` with the units of missed requests per tick.
+
+    Requests meet their tick once and are summed where they meet, so the replay runs once.
+    """
     ticks = replay_ticks(demand, cook_orders, items, stores, opening)
-    missed = (
-        missed_requests(demand, ticks)
-        .groupBy(*ITEM, "tick")
-        .agg(F.sum("quantity").alias("stockouts"))
+    missed = F.when(F.col("before") >= F.col("on_hand"), F.col("_quantity")).otherwise(0)
+    queued = _queued(demand).select(*TICK, "before", F.col("quantity").alias("_quantity"))
+    return (
+        ticks.join(queued, TICK, "left")
+        .groupBy(*ticks.columns)
+        .agg(F.sum(missed).alias("stockouts"))
     )
-    return ticks.join(missed, [*ITEM, "tick"], "left").fillna(0, ["stockouts"])

@@ -25,6 +25,7 @@ from slotcast.constants import (
 from slotcast.functions.scoring import effective_price as price_on_day
 from slotcast.functions.slots import day_of_slot, hour_of_slot, minute_of_slot, slot_of
 from slotcast.operators.live import Now, with_now
+from slotcast.session import shuffle_partitions
 
 ITEM = ["store_id", "item_id"]
 SLOT = [*ITEM, "slot_index"]
@@ -79,19 +80,17 @@ def store_item_slot_grid(stores: DataFrame, menu: DataFrame, as_of: date | Colum
     born distributed. Items meet slots on the hour of the day: an equi-join with items x hours as
     the small side, never a cross join.
     """
-    spark = stores.sparkSession
     window = _hours_of(F.col("time_of_day"))
     item_hours = (
         _sellable(menu, as_of)
         .withColumn("sale_hour", F.explode(F.sequence(window[0], window[1] - 1)))
         .select("item_id", "category", "sale_hour")
     )
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slots = F.explode(F.sequence(F.lit(0), F.lit(SLOTS_PER_WEEK - 1)))
     return (
         stores.select("store_id")
         .distinct()
-        .repartition(partitions, "store_id")
+        .repartition(shuffle_partitions(stores.sparkSession), "store_id")
         .select("store_id", slots.alias("slot_index"))
         .withColumn("sale_hour", hour_of_slot("slot_index"))
         .join(item_hours, "sale_hour")

@@ -29,31 +29,36 @@ def _slot_of_staged() -> Column:
     ).cast("int")
 
 
-def _counted_slots(sales: DataFrame) -> DataFrame:
+def slot_sales(sales: DataFrame) -> DataFrame:
+    """Units per store, item, date and slot, from staged sales."""
     # Hour and weekday follow from the slot, so they need not be grouping keys.
     return (
         sales.groupBy(*ITEM, "sale_date", _slot_of_staged().alias("slot_index"))
-        .agg(F.sum("quantity").alias("slot_quantity"), F.count(F.lit(1)).alias("n_events"))
-        .withColumn("sale_hour", hour_of_slot("slot_index"))
-        .withColumn("day_of_week", day_of_slot("slot_index"))
-    )
-
-
-def slot_sales(sales: DataFrame) -> DataFrame:
-    """Units per store, item, date and slot, from staged sales."""
-    return _counted_slots(sales).select(
-        *ITEM, "sale_date", "sale_hour", "slot_index", "day_of_week", "slot_quantity"
+        .agg(F.sum("quantity").alias("slot_quantity"))
+        .select(
+            *ITEM,
+            "sale_date",
+            hour_of_slot("slot_index").alias("sale_hour"),
+            "slot_index",
+            day_of_slot("slot_index").alias("day_of_week"),
+            "slot_quantity",
+        )
     )
 
 
 def shared_slot_sales(sales: DataFrame) -> DataFrame:
-    """:func:`slot_sales` for plans that use it several times.
+    """:func:`slot_sales` for plans that use it several times, without rows that fail the log's
+    not-null tests.
 
-    The filter holds for every row. It reads both aggregates, so that no consumer prunes one of
-    them; their plans stay equal up to the shuffle, and Spark scans and shuffles the log once.
+    Stating the test here gives all consumers the same filters and columns up to the shuffle:
+    none prunes the sum, and no join adds a filter of its own. Spark then scans the log once and
+    reuses that shuffle.
     """
-    both_kept = F.col("n_events") >= F.when(F.col("slot_quantity").isNull(), 0).otherwise(1)
-    return _counted_slots(sales).filter(both_kept)
+    slots = slot_sales(sales)
+    tested = ("store_id", "item_id", "sale_date", "slot_index", "day_of_week", "slot_quantity")
+    for column in tested:
+        slots = slots.filter(F.col(column).isNotNull())
+    return slots
 
 
 def store_dow_dates(sales: DataFrame) -> DataFrame:

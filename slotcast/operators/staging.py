@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from slotcast.constants import MINUTES_PER_SLOT
 from slotcast.functions.slots import floor_to_slot
 
 def _at() -> Column:
@@ -12,7 +13,6 @@ def _at() -> Column:
 
 def stage_sales(df: DataFrame) -> DataFrame:
     at = _at()
-    start = floor_to_slot(at)
     return df.select(
         "store_id",
         "item_id",
@@ -22,8 +22,8 @@ def stage_sales(df: DataFrame) -> DataFrame:
         F.to_date(at).alias("sale_date"),
         F.hour(at).alias("sale_hour"),
         F.weekday(at).alias("day_of_week"),
-        start.alias("sale_15min"),
-        F.minute(start).alias("sale_minute"),
+        floor_to_slot(at).alias("sale_15min"),
+        (F.floor(F.minute(at) / MINUTES_PER_SLOT) * MINUTES_PER_SLOT).cast("int").alias("sale_minute"),
     )
 
 

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, LongType, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from slotcast.functions.slots import ntz
 from slotcast.schemas import LOGS
@@ -18,7 +18,8 @@ FLUSH = "flush"
 
 
 def _layout(kind: str) -> StructType:
-    return StructType(LOGS[kind].fields).add(FLUSH, LongType()).add(DATE, DateType())
+    partitions = [StructField(FLUSH, LongType()), StructField(DATE, DateType())]
+    return StructType([*LOGS[kind].fields, *partitions])
 
 
 def read_events(spark: SparkSession, path: str, kind: str, since: datetime | None = None) -> DataFrame:
