@@ -7,7 +7,10 @@ it had, so a hot item is only hot before the first partial aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotcast.constants import SLOTS_PER_DAY, SLOTS_PER_HOUR
 from slotcast.functions.slots import (
@@ -54,11 +57,8 @@ def shared_slot_sales(sales: DataFrame) -> DataFrame:
     none prunes the sum, and no join adds a filter of its own. Spark then scans the log once and
     reuses that shuffle.
     """
-    slots = slot_sales(sales)
     tested = ("store_id", "item_id", "sale_date", "slot_index", "day_of_week", "slot_quantity")
-    for column in tested:
-        slots = slots.filter(F.col(column).isNotNull())
-    return slots
+    return slot_sales(sales).filter(reduce(and_, (F.col(c).isNotNull() for c in tested)))
 
 
 def store_dow_dates(sales: DataFrame) -> DataFrame:
@@ -170,8 +170,6 @@ def rolling_slot_demand(slots: DataFrame, widths: tuple[int, ...] = (4, 8)) -> D
     The reference documents these columns without computing them. Slots are sparse, so the window
     is a range of slot numbers, not of rows. A window group has at most 96 rows a day.
     """
-    from pyspark.sql import Window
-
     over_time = Window.partitionBy(*ITEM).orderBy(running_slot("sale_date", "slot_index"))
     return slots.select(
         *ITEM,
