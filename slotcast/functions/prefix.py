@@ -4,30 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from slotcast.functions.slots import has_all
+
 
 def units_before(
     df: DataFrame, keys: list[str], order: list[str], value: str, buckets: list[str], name: str
 ) -> DataFrame:
-    """Add ``name``: the sum of ``value`` over the earlier rows of the same key.
+    """Add ``name``: the sum of ``value`` (not negative) over the earlier rows of the same key.
+
+    ``buckets`` are columns that grow with ``order``, from coarse to fine. Rows run up only inside
+    their finest bucket; where a bucket starts follows from the totals of the buckets before it,
+    which is the same problem on far fewer rows. A key with a third of all rows thus spreads over
+    as many tasks as it has buckets. Rows without a key or bucket are left out.
 
-    ``buckets`` are columns that grow with ``order``, from coarse to fine. Totals per bucket give
-    each bucket its start, and only the rows inside one finest bucket share a window, so a key
-    with a third of all rows still spreads over as many tasks as it has buckets.
+    A bucket's total is its last running value, and the filter is the one that the join would
+    add, so that rows and totals share one scan and one shuffle.
     """
+    inside = [*keys, *buckets]
+    earlier = (
+        Window.partitionBy(*inside)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    )
+    running = df.filter(has_all(*inside)).withColumn(name, F.coalesce(F.sum(value).over(earlier), F.lit(0)))
     if not buckets:
-        earlier = (
-            Window.partitionBy(*keys)
-            .orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
-        )
-        return df.withColumn(name, F.coalesce(F.sum(value).over(earlier), F.lit(0)))
-
-    bucket, finer = buckets[0], buckets[1:]
-    totals = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_units"))
-    starts = units_before(totals, keys, [bucket], "_units", [], "_start").drop("_units")
-    inside = units_before(df, [*keys, bucket], order, value, finer, name)
+        return running
+    totals = running.groupBy(*inside).agg(F.max(F.col(name) + F.col(value)).alias("_units"))
+    start = f"{name}_of_bucket"
+    starts = units_before(totals, keys, buckets[-1:], "_units", buckets[:-1], start)
     return (
-        inside.join(starts, [*keys, bucket])
-        .withColumn(name, F.col(name) + F.col("_start"))
-        .drop("_start")
+        running.join(starts.drop("_units"), inside)
+        .withColumn(name, F.col(name) + F.col(start))
+        .drop(start)
     )

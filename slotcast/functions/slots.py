@@ -6,6 +6,8 @@ Event times are TIMESTAMP_NTZ, so none of these depend on the session time zone.
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, functions as F
 
@@ -18,6 +20,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def has_all(*columns: str) -> Column:
+    """None of the columns is null."""
+    return reduce(and_, (F.col(c).isNotNull() for c in columns))
+
+
 def ntz(value: datetime | date | str) -> Column:
     """A TIMESTAMP_NTZ literal; a Python datetime passed to ``lit`` would shift with the zone."""
     return F.lit(str(value)).cast("timestamp_ntz")

@@ -7,15 +7,13 @@ it had, so a hot item is only hot before the first partial aggregation.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotcast.constants import SLOTS_PER_DAY, SLOTS_PER_HOUR
 from slotcast.functions.slots import (
     date_of_running_slot,
     day_of_slot,
+    has_all,
     hour_of_slot,
     ring_slot_of_running,
     running_slot,
@@ -57,8 +55,9 @@ def shared_slot_sales(sales: DataFrame) -> DataFrame:
     none prunes the sum, and no join adds a filter of its own. Spark then scans the log once and
     reuses that shuffle.
     """
-    tested = ("store_id", "item_id", "sale_date", "slot_index", "day_of_week", "slot_quantity")
-    return slot_sales(sales).filter(reduce(and_, (F.col(c).isNotNull() for c in tested)))
+    return slot_sales(sales).filter(
+        has_all(*ITEM, "sale_date", "slot_index", "day_of_week", "slot_quantity")
+    )
 
 
 def store_dow_dates(sales: DataFrame) -> DataFrame:

@@ -56,13 +56,17 @@ def append_events(df: DataFrame, epoch: int, path: str) -> None:
     Each flush owns its folder and overwrites it, so a flush that is retried after a failure
     neither loses nor doubles events.
     """
-    for kind in LOGS:
-        (
-            _as_log(df.filter(F.col("kind") == kind), kind)
-            .write.mode("overwrite")
-            .partitionBy(DATE)
-            .parquet(os.path.join(path, kind, f"{FLUSH}={epoch}"))
-        )
+    df.persist()  # one flush; read once, written to three logs
+    try:
+        for kind in LOGS:
+            (
+                _as_log(df.filter(F.col("kind") == kind), kind)
+                .write.mode("overwrite")
+                .partitionBy(DATE)
+                .parquet(os.path.join(path, kind, f"{FLUSH}={epoch}"))
+            )
+    finally:
+        df.unpersist()
 
 
 def insert_events(df: DataFrame, kind: str, table: str) -> None:
