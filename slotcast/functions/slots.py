@@ -13,7 +13,7 @@ from pyspark.sql import Column, functions as F
 
 from slotcast.constants import MINUTES_PER_SLOT, SLOTS_PER_DAY, SLOTS_PER_HOUR, SLOTS_PER_WEEK
 
-EPOCH = "1970-01-01 00:00:00"
+MICROS = 1_000_000
 
 
 def col(c: str | Column) -> Column:
@@ -86,19 +86,21 @@ def ring_slot_of_running(running: str | Column) -> Column:
 
 
 def to_event_time(ts: str | Column) -> Column:
-    """TIMESTAMP_NTZ to TIMESTAMP with the wall clock read as UTC, for watermarks."""
-    start = F.lit(EPOCH).cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, col(ts)))
+    """TIMESTAMP_NTZ to TIMESTAMP with the wall clock read as UTC, for watermarks.
+
+    Put together from the parts of the clock: a cast would go through the session time zone.
+    """
+    ts = col(ts)
+    seconds = F.unix_date(F.to_date(ts)).cast("bigint") * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+    micros = (F.extract(F.lit("SECOND"), ts) * MICROS).cast("bigint")
+    return F.timestamp_micros(seconds * MICROS + micros)
 
 
 def from_event_time(ts: str | Column) -> Column:
     """The inverse of :func:`to_event_time`."""
-    ts = col(ts)
-    start = F.lit(EPOCH).cast("timestamp_ntz")
-    day = F.lit(86_400_000_000)
-    micros = F.unix_micros(ts)
-    whole_days = F.floor(micros / day).cast("int")
-    rest = F.pmod(micros, day)
-    return F.timestamp_add("DAY", whole_days, start) + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (rest.cast("decimal(18,6)") / 1_000_000).cast("decimal(18,6)")
-    )
+    micros = F.unix_micros(col(ts))
+    day = F.lit(86_400 * MICROS)
+    into_day = (F.pmod(micros, day) / F.lit(MICROS).cast("decimal(10,0)")).cast("decimal(18,6)")
+    midnight_of = F.date_from_unix_date(F.floor(micros / day).cast("int")).cast("timestamp_ntz")
+    zero = F.lit(0)
+    return midnight_of + F.make_dt_interval(zero, zero, zero, into_day)
