@@ -456,7 +456,7 @@ _BODIES = {
         UNPIVOT (failures FOR column_name IN (store_id, item_id, quantity, price, created_at))""",
     "accepted_range": "SELECT count(*) FILTER (quantity < 1) AS failures FROM sales",
     "freshness": """SELECT newest, CAST(trunc(epoch(now - newest)) AS BIGINT) AS age_seconds,
-        CASE WHEN epoch(now - newest) >= 1801 THEN 'warn' ELSE 'pass' END AS status
+        CASE WHEN now - newest > INTERVAL 30 MINUTE THEN 'warn' ELSE 'pass' END AS status
         FROM (SELECT max(created_at) AS newest FROM stockouts), clock""",
     "row_count_invariant": """SELECT count(*) AS rows_in, count(*) AS rows_out, true AS holds
         FROM grid""",

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from slotcast.functions.slots import ntz
+from slotcast.functions.slots import MICROS, ntz, to_event_time
 
 
 def not_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -28,11 +28,12 @@ def freshness(
 ) -> DataFrame:
     """The newest value, its age in seconds at ``as_of`` and whether it is stale."""
     at = as_of.scalar() if isinstance(as_of, DataFrame) else ntz(as_of)
-    age = F.timestamp_diff("SECOND", F.col("newest"), at)
+    age = F.unix_micros(to_event_time(at)) - F.unix_micros(to_event_time("newest"))
+    limit = max_age // timedelta(microseconds=1)
     return df.agg(F.max(column).alias("newest")).select(
         "newest",
-        age.alias("age_seconds"),
-        F.when(age > max_age.total_seconds(), "warn").otherwise("pass").alias("status"),
+        (age / MICROS).cast("bigint").alias("age_seconds"),
+        F.when(age > limit, "warn").otherwise("pass").alias("status"),
     )
 
 

@@ -142,5 +142,6 @@ def test_quality(make):
     assert quality.accepted_range(df, "quantity", 1).first().failures == 1
     times = make([("2024-01-01 00:00:00",)], "at timestamp_ntz")
     assert quality.freshness(times, "at", "2024-01-01 00:30:00").first().status == "pass"
-    assert quality.freshness(times, "at", "2024-01-01 00:30:01").first().status == "warn"
+    assert quality.freshness(times, "at", "2024-01-01 00:30:00.5").first().status == "warn"
+    assert quality.freshness(times, "at", "2024-01-01 00:30:00.5").first().age_seconds == 1800
     assert not quality.row_count_invariant(df, df.limit(2)).first().holds
