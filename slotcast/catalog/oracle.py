@@ -448,6 +448,71 @@ _BODIES = {
                CAST(least(s.hi, d.hi) - greatest(s.hi - s.quantity, d.hi - d.quantity) AS BIGINT) AS units
         FROM s JOIN d ON s.store_id = d.store_id AND s.item_id = d.item_id
           AND s.hi - s.quantity < d.hi AND d.hi - d.quantity < s.hi""",
+    # One recursion step per 15 minutes, for all store-item-days at once; batches are lists.
+    "inventory_replay": """
+        WITH RECURSIVE per_tick AS (
+          SELECT store_id, item_id, CAST(created_at AS DATE) AS day,
+                 hour(created_at) * 60 + minute(created_at) // 15 * 15 AS minute,
+                 sum(CASE WHEN kind = 'sales' THEN quantity ELSE 0 END) AS requested,
+                 sum(CASE WHEN kind = 'waste' THEN 2 * quantity ELSE 0 END) AS cooked
+          FROM log WHERE kind IN ('sales', 'waste') GROUP BY ALL),
+        days AS (
+          SELECT t.store_id, t.item_id, t.day, m.cook_time, m.hold_time * 60 AS hold, s.hours,
+                 CASE WHEN sum(t.requested) > 0 AND s.hours = '24/7' THEN 2 ELSE 0 END AS opening
+          FROM per_tick AS t JOIN menu AS m USING (item_id) JOIN stores AS s USING (store_id)
+          GROUP BY t.store_id, t.item_id, t.day, m.cook_time, m.hold_time, s.hours),
+        state AS (
+          SELECT store_id, item_id, day, cook_time, hold, hours, CAST(-15 AS BIGINT) AS minute,
+                 CASE WHEN opening > 0 THEN [{'q': CAST(opening AS BIGINT), 'e': CAST(hold AS DOUBLE)}]
+                      ELSE CAST([] AS STRUCT(q BIGINT, e DOUBLE)[]) END AS shelf,
+                 CAST([] AS STRUCT(q BIGINT, r DOUBLE, e DOUBLE)[]) AS cooking,
+                 false AS runs, CAST(0 AS BIGINT) AS requested, CAST(0 AS BIGINT) AS cooked,
+                 CAST(0 AS BIGINT) AS on_hand, CAST(0 AS BIGINT) AS sold, CAST(0 AS BIGINT) AS wasted
+          FROM days
+          UNION ALL
+          SELECT store_id, item_id, day, cook_time, hold, hours, minute,
+                 CASE WHEN runs THEN list_filter(rest, lambda b: b.q > 0 AND b.e > minute) ELSE shelf END,
+                 CASE WHEN runs THEN list_concat(list_filter(cooking, lambda b: b.r > minute),
+                   CASE WHEN ordered > 0
+                        THEN [{'q': ordered, 'r': CAST(minute + cook_time AS DOUBLE),
+                               'e': CAST(minute + cook_time + hold AS DOUBLE)}]
+                        ELSE CAST([] AS STRUCT(q BIGINT, r DOUBLE, e DOUBLE)[]) END) ELSE cooking END,
+                 runs, wanted, ordered, stock, taken,
+                 CAST(coalesce(list_sum(list_transform(
+                   list_filter(rest, lambda b: b.e <= minute), lambda b: b.q)), 0) AS BIGINT)
+          FROM (SELECT *, list_transform(ready, lambda b, i: {'q': CAST(b.q - least(b.q, greatest(0,
+                         taken - coalesce(list_sum(list_transform(ready[1:i - 1], lambda x: x.q)), 0)))
+                         AS BIGINT), 'e': b.e}) AS rest
+                FROM (SELECT *, least(wanted, stock) AS taken
+                      FROM (SELECT *, CAST(coalesce(list_sum(list_transform(ready, lambda b: b.q)), 0)
+                                           AS BIGINT) AS stock
+                            FROM (SELECT s.store_id, s.item_id, s.day, s.cook_time, s.hold, s.hours,
+                                         s.minute + 15 AS minute, s.shelf, s.cooking,
+                                         s.hours = '24/7' OR (s.minute + 15 >= 300 AND s.minute + 15 < 1380)
+                                           AS runs,
+                                         list_concat(s.shelf, list_transform(
+                                           list_filter(s.cooking, lambda b: b.r <= s.minute + 15),
+                                           lambda b: {'q': b.q, 'e': b.e})) AS ready,
+                                         CAST(coalesce(t.requested, 0) AS BIGINT) AS wanted,
+                                         CAST(coalesce(t.cooked, 0) AS BIGINT) AS ordered
+                                  FROM state AS s LEFT JOIN per_tick AS t
+                                    ON t.store_id = s.store_id AND t.item_id = s.item_id
+                                    AND t.day = s.day AND t.minute = s.minute + 15
+                                  WHERE s.minute < 1425))))),
+        unserved AS (
+          SELECT q.store_id, q.item_id, q.day, q.minute, sum(q.quantity) AS stockouts
+          FROM (SELECT store_id, item_id, sale_date AS day,
+                       sale_hour * 60 + sale_minute AS minute, quantity,
+                       sum(quantity) OVER (PARTITION BY store_id, item_id, sale_date, slot_index
+                         ORDER BY created_at, id) - quantity AS before FROM sales) AS q
+          JOIN state AS s USING (store_id, item_id, day, minute)
+          WHERE s.runs AND q.before >= s.on_hand GROUP BY ALL)
+        SELECT store_id, item_id, day, CAST(day AS TIMESTAMP) + to_minutes(CAST(minute AS BIGINT)) AS tick,
+               requested, cooked, on_hand, sold, wasted, on_hand - sold - wasted AS left_over,
+               CAST(coalesce(list_sum(list_transform(cooking, lambda b: b.q)), 0) AS BIGINT) AS in_progress,
+               CAST(coalesce(x.stockouts, 0) AS BIGINT) AS stockouts
+        FROM state LEFT JOIN unserved AS x USING (store_id, item_id, day, minute)
+        WHERE runs AND (requested > 0 OR cooked > 0 OR on_hand > 0)""",
     "not_null": """SELECT column_name, failures FROM
         (SELECT count(*) FILTER (store_id IS NULL) AS store_id,
                 count(*) FILTER (item_id IS NULL) AS item_id,
@@ -509,8 +574,9 @@ _BODIES = {
 
 def _with_tables(body: str) -> str:
     tables = ",\n".join(f"{name} AS ({sql})" for name, sql in _TABLES.items())
-    if body.lstrip().startswith("WITH "):
-        return f"WITH {tables},\n{body.lstrip()[5:]}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.lstrip().startswith(opening):
+            return f"{opening}{tables},\n{body.lstrip().removeprefix(opening)}"
     return f"WITH {tables}\n{body}"
 
 
