@@ -210,6 +210,15 @@ _TABLES = {
         FROM (SELECT DISTINCT store_id, sale_date FROM sales) AS d JOIN stores AS st USING (store_id)
         JOIN weather AS w ON w.region = st.region AND w.sale_date = d.sale_date""",
     "supply": "SELECT store_id, item_id, id, created_at, quantity * 2 AS quantity FROM waste",
+    "waste_percent": """
+        SELECT store_id, item_id, m.category,
+        round(w.units * m.cost, 6) AS waste_cost, round(s.units * m.price, 6) AS sale_revenue,
+        waste_date, CAST(s.units AS BIGINT) AS sale_quantity,
+        round(w.units * m.cost / nullif(s.units * m.price, 0) * 100, 6) AS waste_percentage
+        FROM (SELECT store_id, item_id, waste_date, sum(quantity) AS units FROM waste GROUP BY ALL) AS w
+        JOIN (SELECT store_id, item_id, sale_date AS waste_date, sum(quantity) AS units
+              FROM sales GROUP BY ALL) AS s USING (store_id, item_id, waste_date)
+        JOIN menu AS m USING (item_id)""",
     "curve": f"SELECT * FROM (VALUES {_CURVE}) AS c(hour, level)",
 }
 
@@ -258,14 +267,7 @@ _BODIES = {
         CAST(sum(quantity) AS BIGINT) AS sale_quantity FROM sales GROUP BY ALL""",
     "daily_item_waste": """SELECT store_id, item_id, waste_date,
         CAST(sum(quantity) AS BIGINT) AS waste_quantity FROM waste GROUP BY ALL""",
-    "waste_percentage": """SELECT store_id, item_id, m.category,
-        round(w.units * m.cost, 6) AS waste_cost, round(s.units * m.price, 6) AS sale_revenue,
-        waste_date, CAST(s.units AS BIGINT) AS sale_quantity,
-        round(w.units * m.cost / nullif(s.units * m.price, 0) * 100, 6) AS waste_percentage
-        FROM (SELECT store_id, item_id, waste_date, sum(quantity) AS units FROM waste GROUP BY ALL) AS w
-        JOIN (SELECT store_id, item_id, sale_date AS waste_date, sum(quantity) AS units
-              FROM sales GROUP BY ALL) AS s USING (store_id, item_id, waste_date)
-        JOIN menu AS m USING (item_id)""",
+    "waste_percentage": "SELECT * FROM waste_percent",
     "store_dates": "SELECT DISTINCT store_id, sale_date, day_of_week FROM sales",
     "latest_slot_per_item": """SELECT r.store_id, r.item_id, r.sale_date, r.sale_hour, r.slot_index,
         r.day_of_week, r.slot_quantity, round(p.avg_slot_quantity, 6) AS avg_slot_quantity,
@@ -534,6 +536,11 @@ _BODIES = {
         GROUP BY ALL""",
     "csv_round_trip": """SELECT store_id, item_id, sale_date,
         CAST(sum(quantity) AS BIGINT) AS sale_quantity FROM sales GROUP BY ALL""",
+    "waste_percentage_csv_dims": """SELECT * REPLACE (CAST(store_id AS VARCHAR) AS store_id,
+        CAST(item_id AS VARCHAR) AS item_id) FROM waste_percent""",
+    "cold_start_profile_yaml_dims": """SELECT m.category, p.day_of_week, p.sale_hour, p.slot_index,
+        round(avg(p.avg_slot_quantity), 6) AS avg_slot_quantity
+        FROM profile AS p JOIN menu AS m USING (item_id) GROUP BY ALL""",
     "store_predictions": """SELECT store_id, item_id, slot_index,
         round(avg_slot_quantity, 6) AS predicted_units FROM profile WHERE store_id = 5""",
     "marts": """
@@ -567,6 +574,17 @@ _BODIES = {
              (SELECT max(created_at) AS newest FROM waste) AS c
         WHERE w.waste_date + INTERVAL 1 DAY <= date_trunc('milliseconds', c.newest) - INTERVAL 1 DAY
         GROUP BY w.store_id, w.item_id, w.waste_date, m.category, m.cost""",
+    "stream_inventory": """SELECT store_id, item_id,
+        CAST(sum(CASE WHEN kind = 'sales' THEN quantity ELSE 0 END) AS BIGINT) AS requested,
+        CAST(sum(CASE WHEN kind = 'waste' THEN 2 * quantity ELSE 0 END) AS BIGINT) AS cooked,
+        CAST(0 AS BIGINT) AS unexplained
+        FROM log JOIN stores USING (store_id),
+             (SELECT max(created_at) AS newest FROM log WHERE kind IN ('sales', 'waste')) AS c
+        WHERE kind IN ('sales', 'waste')
+          AND (hours = '24/7' OR (hour(created_at) >= 5 AND hour(created_at) < 23))
+          AND time_bucket(INTERVAL 15 MINUTE, created_at) + INTERVAL 15 MINUTE
+              <= date_trunc('milliseconds', c.newest) - INTERVAL 15 MINUTE
+        GROUP BY store_id, item_id""",
     "stream_append": """SELECT store_id, item_id, quantity, round(price, 6) AS price, created_at,
         sale_date AS event_date FROM sales""",
 }

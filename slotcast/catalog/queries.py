@@ -31,9 +31,11 @@ from slotcast.plans import forecast
 from slotcast.plans.marts import build_marts
 from slotcast.session import new_folder, stage
 from slotcast.sources import events as event_source, results as results_source
-from slotcast.sources.dims import write_csv
+from slotcast.schemas import MENU_CSV
+from slotcast.sources.dims import read_dims_csv, read_dims_yaml, write_csv
 from slotcast.sources.tables import overwrite_table, scan_store_predictions
 from slotcast.streaming import streams
+from slotcast.streaming.inventory import stream_inventory as inventory_of_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -684,6 +686,43 @@ def csv_round_trip(spark, sf):
     return spark.read.csv(path, header=True, schema=daily.schema)
 
 
+def _named_text(df: DataFrame) -> DataFrame:
+    """Ids as text, as the dimension files have them."""
+    return df.withColumns({c: F.col(c).cast("string") for c in ("store_id", "item_id")})
+
+
+@query
+def waste_percentage_csv_dims(spark, sf):
+    """Waste percent with the menu from a CSV file."""
+    folder = new_folder(spark, "dims")
+    days = F.concat(F.lit("["), F.concat_ws(", ", F.col("sale_days").cast("array<string>")), F.lit("]"))
+    columns = [f.name for f in MENU_CSV]
+    write_csv(m.menu(spark).withColumn("sale_days", days).select(*columns), f"{folder}/menu_items.csv")
+    write_csv(m.stores(spark), f"{folder}/stores.csv")
+    write_csv(m.weather(spark), f"{folder}/weather_daily.csv")
+    menu = read_dims_csv(spark, folder)["menu_items"]
+    return waste_ops.waste_percentage(
+        _named_text(m.waste(spark, sf)), _named_text(m.sales(spark, sf)), menu
+    )
+
+
+@query
+def cold_start_profile_yaml_dims(spark, sf):
+    """Category profile with the menu from a configuration file."""
+    folder = new_folder(spark, "dims")
+
+    def write(df: DataFrame, name: str, list_name: str, id_name: str) -> None:
+        row = F.to_json(F.struct(F.col(id_name).cast("string").alias("id"), *df.drop(id_name).columns))
+        lines = df.agg(F.array_join(F.collect_list(row), ", ").alias("rows"))
+        text = F.concat(F.lit(f"{list_name}: ["), F.col("rows"), F.lit("]"))
+        lines.select(text).coalesce(1).write.text(f"{folder}/{name}.yaml")
+
+    write(m.menu(spark), "menu", "items", "item_id")
+    write(m.stores(spark).withColumn("region", F.col("region").cast("string")), "stores", "stores", "store_id")
+    menu = read_dims_yaml(spark, folder)["menu"]
+    return profiles.cold_start_profile(_named_text(_profile(spark, sf)), menu)
+
+
 @query
 def store_predictions(spark, sf):
     """One store's predictions, from a table kept in store order."""
@@ -760,3 +799,23 @@ def stream_append(spark, sf):
     for _ in range(2):  # the second run finds nothing new
         streams.stream_append(sdf, out, checkpoint, once=True).awaitTermination()
     return spark.read.parquet(out)
+
+
+@query
+def stream_inventory(spark, sf):
+    """Units requested and cooked in the closed ticks, and units that are not accounted for."""
+    stream = _stream(spark, sf, (*m.SALE_TYPES, m.WASTE_TYPE))
+    events = stream.select(
+        "store_id",
+        "item_id",
+        F.when(F.col("kind") == "sales", "demand").otherwise("cook").alias("kind"),
+        F.col("created_at").alias("at"),
+        F.when(F.col("kind") == "sales", F.col("quantity")).otherwise(F.col("quantity") * 2).alias("quantity"),
+    )
+    ticks = _drain(spark, inventory_of_stream(events, m.menu(spark), m.stores(spark)), "inventory")
+    at_end = F.max_by(F.col("left_over") + F.col("in_progress"), "tick")
+    return ticks.groupBy("store_id", "item_id").agg(
+        F.sum("requested").alias("requested"),
+        F.sum("cooked").alias("cooked"),
+        (F.sum("cooked") - F.sum("sold") - F.sum("wasted") - at_end).alias("unexplained"),
+    )

@@ -86,72 +86,78 @@ REPLAY_INPUT = [
 COUNTS = ["requested", "cooked", "on_hand", "sold", "wasted", "left_over", "in_progress"]
 
 
-def _replay_item(
-    requests: dict[int, int],
-    orders: dict[int, int],
-    opening: int,
-    cook_minutes: float,
-    hold_minutes: float,
-    ticks: range,
-) -> Iterator[tuple]:
-    """One item of one store on one day, in the order promote, cook, sell, expire per tick.
+class Shelf:
+    """The batches of one item in one store; times are minutes on any fixed clock.
 
     Batches of an item are ready and expire in the order they were started, so both queues are
-    read from the front. Ticks without stock, orders or requests give no row.
+    read from the front.
     """
-    shelf: deque[list] = deque()  # [quantity, expires]
-    cooking: deque[tuple] = deque()  # (quantity, ready, expires)
-    on_hand, in_progress = opening, 0
-    if opening > 0:
-        shelf.append([opening, hold_minutes])
-    for minute in ticks:
-        while cooking and cooking[0][1] <= minute:
-            quantity, _, expires = cooking.popleft()
-            shelf.append([quantity, expires])
-            in_progress -= quantity
-            on_hand += quantity
-        requested, cooked = requests.get(minute, 0), orders.get(minute, 0)
+
+    def __init__(self, cook_minutes: float, hold_minutes: float, batches=(), cooking=()):
+        self.cook_minutes, self.hold_minutes = cook_minutes, hold_minutes
+        self.batches = deque([q, expires] for q, expires in batches)
+        self.cooking = deque(tuple(batch) for batch in cooking)  # (quantity, ready, expires)
+        self.on_hand = sum(q for q, _ in self.batches)
+        self.in_progress = sum(batch[0] for batch in self.cooking)
+
+    def holds_food(self) -> bool:
+        return bool(self.on_hand or self.in_progress)
+
+    def step(self, minute: int, requested: int, cooked: int) -> tuple | None:
+        """One tick: promote, cook, sell, expire. Nothing to report without stock or events."""
+        while self.cooking and self.cooking[0][1] <= minute:
+            quantity, _, expires = self.cooking.popleft()
+            self.batches.append([quantity, expires])
+            self.in_progress -= quantity
+            self.on_hand += quantity
         if cooked > 0:
-            ready = minute + cook_minutes
-            cooking.append((cooked, ready, ready + hold_minutes))
-            in_progress += cooked
-        if not (requested or cooked or on_hand):
-            continue
-        before = on_hand
-        wanted = sold = min(requested, on_hand)
+            ready = minute + self.cook_minutes
+            self.cooking.append((cooked, ready, ready + self.hold_minutes))
+            self.in_progress += cooked
+        before = self.on_hand
+        if not (requested or cooked or before):
+            return None
+        wanted = sold = min(requested, before)
         while wanted > 0:
-            taken = min(wanted, shelf[0][0])
-            shelf[0][0] -= taken
+            taken = min(wanted, self.batches[0][0])
+            self.batches[0][0] -= taken
             wanted -= taken
-            if shelf[0][0] == 0:
-                shelf.popleft()
+            if self.batches[0][0] == 0:
+                self.batches.popleft()
         wasted = 0
-        while shelf and shelf[0][1] <= minute:
-            wasted += shelf.popleft()[0]
-        on_hand = before - sold - wasted
-        yield minute, requested, cooked, before, sold, wasted, on_hand, in_progress
+        while self.batches and self.batches[0][1] <= minute:
+            wasted += self.batches.popleft()[0]
+        self.on_hand = before - sold - wasted
+        return minute, requested, cooked, before, sold, wasted, self.on_hand, self.in_progress
+
+
+def is_open(hours: str, minute_of_day: int) -> bool:
+    hour = minute_of_day // MINUTES_PER_HOUR
+    return hours != LIMITED_HOURS or LIMITED_OPEN_HOUR <= hour < LIMITED_CLOSE_HOUR
 
 
 def _replay_store_days(rows: pd.DataFrame) -> pd.DataFrame:
     """All items of some whole store-days."""
-    requests, orders = defaultdict(dict), defaultdict(dict)
-    facts = {}
+    events, facts = defaultdict(dict), {}
     for store, day, item, minute, requested, cooked, opening, cook, hold, hours in zip(
         *(rows[c].tolist() for c in REPLAY_INPUT)
     ):
         key = store, day, item
-        requests[key][minute] = requested
-        orders[key][minute] = cooked
-        limited = hours == LIMITED_HOURS
-        opens = LIMITED_OPEN_HOUR if limited else 0
-        closes = LIMITED_CLOSE_HOUR if limited else 24
-        ticks = range(opens * MINUTES_PER_HOUR, closes * MINUTES_PER_HOUR, 15)
-        facts[key] = opening, cook, hold * MINUTES_PER_HOUR, ticks
-    out = [
-        (*key, *tick)
-        for key, fact in facts.items()
-        for tick in _replay_item(requests[key], orders[key], *fact)
-    ]
+        events[key][minute] = requested, cooked
+        facts[key] = opening, cook, hold * MINUTES_PER_HOUR, hours
+    open_ticks = {
+        hours: [t for t in range(0, 24 * MINUTES_PER_HOUR, 15) if is_open(hours, t)]
+        for hours in {fact[3] for fact in facts.values()}
+    }
+    out = []
+    for key, (opening, cook, hold, hours) in facts.items():
+        shelf = Shelf(cook, hold, [(opening, hold)] if opening > 0 else [])
+        of_item = events[key]
+        for tick in open_ticks[hours]:
+            if tick in of_item or shelf.holds_food():
+                counts = shelf.step(tick, *of_item.get(tick, (0, 0)))
+                if counts is not None:
+                    out.append((*key, *counts))
     return pd.DataFrame(out, columns=["store_id", "day", "item_id", "minute", *COUNTS])
 
 

@@ -31,8 +31,8 @@ def read_dims_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def read_dims_yaml(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """``menu`` and ``stores`` from configuration files.
 
-    These are hand-written lists, so the driver parses them. ``added`` becomes a date whether
-    the parser returns it as text or as a date.
+    These are hand-written lists, so the driver parses them; Spark reads the text, from any file
+    system. ``added`` becomes a date whether the parser returns it as text or as a date.
     """
     try:
         import yaml
@@ -40,8 +40,8 @@ def read_dims_yaml(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         raise RuntimeError("read_dims_yaml needs PyYAML; use read_dims_csv without it") from missing
 
     def load(name: str, list_name: str) -> list[dict]:
-        with open(os.path.join(folder, f"{name}.yaml")) as f:
-            return yaml.safe_load(f)[list_name]
+        text = spark.read.text(os.path.join(folder, f"{name}.yaml"), wholetext=True).first()
+        return yaml.safe_load(text["value"])[list_name]
 
     def frame(rows: list[dict], schema: StructType, id_name: str) -> DataFrame:
         # Numbers may be written without a point, and dates come as text or as dates.

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 from slotcast.catalog import mapping as m
 from slotcast.functions.slots import from_event_time, to_event_time
 from slotcast.operators import profiles, waste as waste_ops
+from slotcast.operators.inventory import replay_ticks
 from slotcast.streaming import streams
+from slotcast.streaming.inventory import stream_inventory
 
 SF = "/root/testdata/sf0.01"
 
@@ -62,3 +64,32 @@ def test_append_resumes_where_it_stopped(spark, make, tmp_path):
         streams.stream_append(stream, out, checkpoint, once=True).awaitTermination()
     assert spark.read.parquet(out).count() == 2
     assert spark.read.parquet(out).filter("event_date = DATE'2024-01-02'").count() == 1
+
+
+def test_inventory_equals_the_batch_on_its_first_day(spark, make, tmp_path):
+    import random
+
+    draw = random.Random(3)
+    rows = [
+        (s, i, draw.choice(["demand", "demand", "cook"]), f"2024-01-01 {draw.randrange(24):02d}:{draw.randrange(60):02d}:00", draw.randrange(1, 5))
+        for s in "st" for i in "ab" for _ in range(60)
+    ] + [("s", "b", "cook", "2024-01-01 23:30:00", 40)]
+    events = make(rows, "store_id string, item_id string, kind string, at timestamp_ntz, quantity int")
+    items = make([("a", 10, 1.5), ("b", 5, 3.0)], "item_id string, cook_time int, hold_time double")
+    stores = make([("s", "24/7"), ("t", "5am-11pm")], "store_id string, hours string")
+    out = drain(
+        spark,
+        events.withColumnRenamed("at", "created_at"),
+        lambda s: stream_inventory(s.withColumnRenamed("created_at", "at"), items, stores, "2 days"),
+        tmp_path,
+    )
+    batch = replay_ticks(
+        events.filter("kind = 'demand'"), events.filter("kind = 'cook'"), items, stores
+    )
+    first_day = out.filter("tick < TIMESTAMP_NTZ'2024-01-02 00:00:00'")
+    expected = sorted(map(tuple, batch.select(*out.columns).collect()))
+    assert len(expected) > 100
+    assert sorted(map(tuple, first_day.collect())) == expected
+    # The last batch of that day is ready at 23:35 and expires three hours later.
+    later = out.filter("tick = TIMESTAMP_NTZ'2024-01-02 02:45:00' AND wasted > 0")
+    assert [(r.store_id, r.item_id, r.left_over) for r in later.collect()] == [("s", "b", 0)]
