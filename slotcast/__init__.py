@@ -1,6 +1,13 @@
 """Slot-grain demand analytics on Spark.
 
 Every operator takes and returns DataFrames. Nothing here collects rows to the driver; the few
-actions (table writes, model fitting, partition drops) live in ``sources``, ``plans`` and
-``operators.model`` and say so.
+actions (table writes, model fitting, partition drops) live in ``sources``, ``plans``,
+``operators.model`` and ``session``, and say so.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need not have this package: the functions they run travel with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

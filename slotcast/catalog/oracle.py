@@ -318,6 +318,8 @@ _BODIES = {
     "store_item_slot_grid": "SELECT * FROM grid",
     "complete_features": """SELECT * REPLACE (round(avg_slot_quantity, 6) AS avg_slot_quantity)
         FROM completed""",
+    "grid_features": """SELECT * REPLACE (round(avg_slot_quantity, 6) AS avg_slot_quantity)
+        FROM completed""",
     "route_rows": """SELECT * REPLACE (round(avg_slot_quantity, 6) AS avg_slot_quantity)
         FROM routed""",
     "cold_prediction": f"""SELECT {_PLAN_ROW} FROM plan

@@ -296,6 +296,13 @@ def complete_features(spark, sf):
     return _grid_features(spark, sf, _launch_inputs(spark, sf)[0])
 
 
+@query
+def grid_features(spark, sf):
+    return plan.grid_features(
+        m.stores(spark), m.menu(spark), _launch_inputs(spark, sf)[0], _today(spark, sf)
+    )
+
+
 @query
 def route_rows(spark, sf):
     return plan.route_rows(_grid_features(spark, sf, _launch_inputs(spark, sf)[0]))

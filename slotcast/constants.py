@@ -3,6 +3,7 @@
 # --- fixed values: slot ring (0 = Monday 00:00) ---
 MINUTES_PER_SLOT = 15
 SLOTS_PER_HOUR = 4
+HOURS_PER_DAY = 24
 SLOTS_PER_DAY = 96
 SLOTS_PER_WEEK = 672
 

@@ -8,6 +8,7 @@ from slotcast.constants import FEATURE_COLUMNS
 from slotcast.functions.slots import minute_of_slot
 from slotcast.operators.plan import with_weekend
 from slotcast.operators.profiles import store_dates
+from slotcast.session import shuffle_partitions
 
 SLOT = ["store_id", "item_id", "slot_index"]
 
@@ -19,9 +20,12 @@ def training_features(
 
     ``slots`` are slot sales. The result is several times larger than its inputs, so it is never
     shuffled: the sold dates of each weekly slot are gathered at profile grain, and dates without
-    a sale are filled in row by row. Both arrays hold at most one entry per week of history.
+    a sale are filled in row by row. Both arrays hold at most one entry per week of history. The
+    number of partitions is fixed: sized by their bytes, they would be too few for the rows that
+    come out.
     """
-    sold = slots.groupBy(*SLOT).agg(
+    partitions = shuffle_partitions(slots.sparkSession)
+    sold = slots.repartition(partitions, *SLOT).groupBy(*SLOT).agg(
         F.collect_list(F.struct("sale_date", "slot_quantity")).alias("sold")
     )
     dates = (
@@ -39,6 +43,7 @@ def training_features(
         profile.select(
             *SLOT, "day_of_week", "sale_hour", "avg_slot_quantity", "sample_size"
         )
+        .repartition(partitions, *SLOT)
         .join(sold, SLOT, "left")
         .join(dates, ["store_id", "day_of_week"])
         .join(stores.select("store_id", "region"), "store_id")

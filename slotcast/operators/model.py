@@ -107,8 +107,8 @@ def fit_boosted_trees(
 ) -> Model:
     """Boosted regression trees on the model features (runs jobs).
 
-    Labels are ordinal numbers to the trees, as in the reference; without their metadata the
-    number of stores does not bound the bins. Lineage is cut in the shared folder.
+    Labels are ordinal numbers to the trees, not categories; without their metadata the number of
+    stores does not bound the bins. Lineage is cut in the shared folder.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:

@@ -56,7 +56,7 @@ def shared_slot_sales(sales: DataFrame) -> DataFrame:
     reuses that shuffle.
     """
     return slot_sales(sales).filter(
-        has_all(*ITEM, "sale_date", "slot_index", "day_of_week", "slot_quantity")
+        has_all(*ITEM, "sale_date", "slot_index", "day_of_week", "sale_hour", "slot_quantity")
     )
 
 
@@ -166,8 +166,8 @@ def latest_slot_per_item(slots: DataFrame, profile: DataFrame) -> DataFrame:
 def rolling_slot_demand(slots: DataFrame, widths: tuple[int, ...] = (4, 8)) -> DataFrame:
     """Units of the last 4 and 8 slots up to each slot with sales.
 
-    The reference documents these columns without computing them. Slots are sparse, so the window
-    is a range of slot numbers, not of rows. A window group has at most 96 rows a day.
+    Slots are sparse, so the window is a range of slot numbers, not of rows. A window group has at
+    most 96 rows a day.
     """
     over_time = Window.partitionBy(*ITEM).orderBy(running_slot("sale_date", "slot_index"))
     return slots.select(

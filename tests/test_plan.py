@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from slotcast.operators import plan, quality
 
 MENU = "item_id string, category string, time_of_day string, active boolean, added date"
+PROFILE = (
+    "store_id string, item_id string, slot_index int, sale_hour int, avg_slot_quantity double, "
+    "sample_size bigint, days_observed bigint"
+)
 FEATURES = "store_id string, item_id string, category string, slot_index int, days_observed bigint, sample_size bigint"
 
 
@@ -58,9 +62,8 @@ def test_routes(make):
 
 def test_plan_keeps_every_row(make, stores, menu):
     profile = make(
-        [("s", "any", 40, 2.5, 3, 20), ("t", "any", 41, 1.0, 1, 5), ("s", "early", 41, 7.0, 9, 30)],
-        "store_id string, item_id string, slot_index int, avg_slot_quantity double, "
-        "sample_size bigint, days_observed bigint",
+        [("s", "any", 40, 10, 2.5, 3, 20), ("t", "any", 41, 10, 1.0, 1, 5), ("s", "early", 41, 10, 7.0, 9, 30)],
+        PROFILE,
     )
     cold = make([("side", 41, 4.0)], "category string, slot_index int, avg_slot_quantity double")
     ratio = make([("s", 0.5), ("t", 1.5)], "store_id string, traffic_ratio double")
@@ -77,11 +80,26 @@ def test_plan_keeps_every_row(make, stores, menu):
     }
 
 
+def test_both_ways_to_complete_the_grid(make, stores, menu):
+    # early sold at 13:00, outside its window: neither the slot nor its days count.
+    profile = make(
+        [("s", "any", 40, 10, 2.5, 3, 20), ("s", "early", 52, 13, 7.0, 9, 30), ("t", "early", 16, 4, 1.0, 2, 9),
+         ("t", "early", 52, 13, 7.0, 9, 30), ("u", "any", 40, 10, 1.0, 1, 1)],
+        PROFILE,
+    )
+    day = date(2024, 2, 1)
+    two_steps = plan.complete_features(plan.store_item_slot_grid(stores, menu, day), profile)
+    one_step = plan.grid_features(stores, menu, profile, day).select(*two_steps.columns)
+    rows = sorted(map(tuple, one_step.collect()))
+    assert rows == sorted(map(tuple, two_steps.collect()))
+    assert {r[:2]: r[-1] for r in rows} == {
+        ("s", "any"): 20, ("t", "any"): 0, ("s", "early"): 0, ("t", "early"): 9,
+    }
+
+
 def test_plan_with_weather_reaches_the_model(make, stores, menu):
     profile = make(
-        [("s", "any", 40, 2.5, 3, 20), ("t", "any", 40, 2.5, 3, 20)],
-        "store_id string, item_id string, slot_index int, avg_slot_quantity double, "
-        "sample_size bigint, days_observed bigint",
+        [("s", "any", 40, 10, 2.5, 3, 20), ("t", "any", 40, 10, 2.5, 3, 20)], PROFILE
     )
     cold = make([("side", 41, 4.0)], "category string, slot_index int, avg_slot_quantity double")
     ratio = make([("s", 1.0), ("t", 1.0)], "store_id string, traffic_ratio double")
