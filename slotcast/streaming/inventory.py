@@ -26,6 +26,14 @@ def _next_tick(memory: dict, shelf: Shelf) -> int | None:
     return min(waiting, default=None)
 
 
+def _combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sum events to ticks before they are shuffled, so that a hot item sends few rows."""
+    for rows in frames:
+        yield rows.groupby([*ITEM, "minute"], as_index=False).agg(
+            {"newest": "max", "requested": "sum", "cooked": "sum"}
+        )[list(rows.columns)]
+
+
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Take in new events, and run the ticks that the watermark has closed, in order.
 
@@ -36,11 +44,10 @@ def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
     }
     closed = state.getCurrentWatermarkMs() // MS_PER_MINUTE
     for rows in frames:
-        for minute, requested, cooked, *facts in zip(
+        for tick, requested, cooked, *facts in zip(
             *(rows[c].tolist() for c in ("minute", "requested", "cooked", "cook_time", "hold_time", "hours"))
         ):
             memory["facts"] = facts
-            tick = minute // TICK * TICK
             if memory["done"] is None or tick > memory["done"]:
                 units = memory["events"].setdefault(str(tick), [0, 0])
                 units[0] += requested
@@ -72,25 +79,25 @@ def stream_inventory(
     """Ticks of every store and item, without daily resets, as the watermark closes them.
 
     ``events`` has (store_id, item_id, kind, at, quantity) with kind ``demand`` or ``cook``. The
-    order inside a tick is that of the batch replay. A key's state is its food and the sums of
-    the ticks still open, whatever the number of events.
+    order inside a tick is that of the batch replay. Events are summed to ticks before the shuffle,
+    and a key's state is its food and the sums of the ticks still open, whatever the number of
+    events.
     """
     units = F.col("quantity").cast("bigint")
+    micros = F.unix_micros(to_event_time("at"))
+    clocked = events.select(
+        *ITEM,
+        micros.alias("newest"),
+        (F.floor(micros / (MS_PER_MINUTE * 1000 * TICK)) * TICK).alias("minute"),
+        F.when(F.col("kind") == "demand", units).otherwise(0).alias("requested"),
+        F.when(F.col("kind") == "cook", units).otherwise(0).alias("cooked"),
+    )
     prepared = (
-        events.withColumn("event_time", to_event_time("at"))
+        clocked.mapInPandas(_combine, clocked.schema)
+        .withColumn("event_time", F.timestamp_micros("newest"))
         .withWatermark("event_time", delay)
         .join(items.select("item_id", "cook_time", F.col("hold_time").cast("double")), "item_id")
         .join(stores.select("store_id", "hours"), "store_id")
-        .select(
-            *ITEM,
-            "event_time",
-            F.floor(F.unix_micros("event_time") / (MS_PER_MINUTE * 1000)).alias("minute"),
-            F.when(F.col("kind") == "demand", units).otherwise(0).alias("requested"),
-            F.when(F.col("kind") == "cook", units).otherwise(0).alias("cooked"),
-            "cook_time",
-            "hold_time",
-            "hours",
-        )
     )
     ids = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prepared.select(*ITEM).schema)
     counts = ", ".join(f"{c} bigint" for c in COUNTS)
