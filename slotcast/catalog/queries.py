@@ -15,7 +15,6 @@ from slotcast.functions.scoring import (
     waste_pct,
     weather_multiplier,
 )
-from slotcast.functions.slots import floor_to_slot
 from slotcast.operators import (
     features,
     inventory,

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from slotcast.constants import MINUTES_PER_SLOT
 from slotcast.functions.slots import floor_to_slot
 
+
 def _at() -> Column:
     return F.col("created_at").cast("timestamp_ntz")
 
