@@ -1,8 +1,8 @@
 """Slot-grain demand analytics on Spark.
 
-Every operator takes and returns DataFrames. Nothing here collects rows to the driver; the few
-actions (table writes, model fitting, partition drops) live in ``sources``, ``plans``,
-``operators.model`` and ``session``, and say so.
+Every operator takes and returns DataFrames. No event or forecast row is collected to the driver;
+what it gets are single rows of counts, partition names, labels and configuration files. Actions
+live in ``sources``, ``plans``, ``operators.model`` and ``session``.
 """
 
 import sys
