@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from slotcast.llm.near_dups import op9_minhash
 from slotcast.llm.packing import op10_packing
+from slotcast.llm.pii import op2_personal_data
 from slotcast.llm.token_counts import op7_token_counts
 
 QUERIES = {
+    "op2_personal_data": op2_personal_data,
     "op7_token_counts": op7_token_counts,
+    "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
 }
 
