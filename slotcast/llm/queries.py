@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from slotcast.llm.decontaminate import op4_templates
+from slotcast.llm.language import op8_language
 from slotcast.llm.near_dups import op9_minhash
 from slotcast.llm.packing import op10_packing
 from slotcast.llm.pii import op2_personal_data
@@ -9,7 +11,9 @@ from slotcast.llm.token_counts import op7_token_counts
 
 QUERIES = {
     "op2_personal_data": op2_personal_data,
+    "op4_templates": op4_templates,
     "op7_token_counts": op7_token_counts,
+    "op8_language": op8_language,
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
 }
