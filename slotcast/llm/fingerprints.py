@@ -27,6 +27,8 @@ from slotcast.llm.common import narrow, shuffle_partitions, table, texts_of
 MODULI = np.array([2147483647, 2147483629], np.uint64)
 BASES = np.array([911382323, 972663749], np.uint64)
 SPAN, BINS = 16, 64
+#: Texts under SHORT code points use spans of SHORT_SPAN.
+SHORT, SHORT_SPAN = 64, 4
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, common_prefix long"
@@ -104,6 +106,7 @@ def fingerprint(hashes: PrefixHashes, span: int = SPAN, bins: int = BINS) -> str
     whole = int(hashes.spans(0, hashes.n))
     sketch = [" " * 4] * bins
     if hashes.n:
+        span = span if hashes.n >= SHORT else SHORT_SPAN
         starts = np.arange(max(1, hashes.n - span + 1))
         values = _mix(hashes.spans(starts, np.minimum(starts + span, hashes.n)))
         values.sort()

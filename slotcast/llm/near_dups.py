@@ -312,5 +312,13 @@ def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
+def remove_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+    """``docs`` without the documents that are not the smallest id of their component; all columns stay."""
+    known = near_duplicates(docs, words, percent)
+    gone = stage(known.where("not kept").select("doc_id").distinct(), "gone")
+    few = gone.count() <= LISTED
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

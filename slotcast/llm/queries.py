@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from slotcast.llm.decontaminate import op4_templates
+from slotcast.llm.fingerprints import op3_fingerprints
+from slotcast.llm.html_text import op5_html_text
 from slotcast.llm.language import op8_language
+from slotcast.llm.licenses import op6_licenses
 from slotcast.llm.near_dups import op9_minhash
 from slotcast.llm.packing import op10_packing
 from slotcast.llm.pii import op2_personal_data
@@ -11,7 +14,10 @@ from slotcast.llm.token_counts import op7_token_counts
 
 QUERIES = {
     "op2_personal_data": op2_personal_data,
+    "op3_fingerprints": op3_fingerprints,
     "op4_templates": op4_templates,
+    "op5_html_text": op5_html_text,
+    "op6_licenses": op6_licenses,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op9_minhash": op9_minhash,
