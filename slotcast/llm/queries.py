@@ -10,9 +10,11 @@ from slotcast.llm.licenses import op6_licenses
 from slotcast.llm.near_dups import op9_minhash
 from slotcast.llm.packing import op10_packing
 from slotcast.llm.pii import op2_personal_data
+from slotcast.llm.suffixes import op1_suffixes
 from slotcast.llm.token_counts import op7_token_counts
 
 QUERIES = {
+    "op1_suffixes": op1_suffixes,
     "op2_personal_data": op2_personal_data,
     "op3_fingerprints": op3_fingerprints,
     "op4_templates": op4_templates,
