@@ -559,23 +559,24 @@ _BODIES = {
         UNION ALL SELECT 'stockout_summary', count(*) FROM
           (SELECT DISTINCT store_id, item_id, stockout_date, stockout_hour FROM stockouts)
         UNION ALL SELECT 'ml_training_features', count(*) FROM features""",
-    # The streams give out what their watermark (newest event less the delay) has closed.
+    # The streams give out open windows too, so they equal the batch.
     "stream_slot_sales": """SELECT store_id, item_id, sale_15min, slot_index,
-        CAST(sum(quantity) AS BIGINT) AS slot_quantity FROM sales, clock
-        WHERE sale_15min + INTERVAL 15 MINUTE <= date_trunc('milliseconds', now) - INTERVAL 15 MINUTE
-        GROUP BY ALL""",
+        CAST(sum(quantity) AS BIGINT) AS slot_quantity FROM sales GROUP BY ALL""",
     "stream_stockouts": """SELECT store_id, item_id, stockout_date, stockout_hour,
         CAST(sum(quantity_requested) AS BIGINT) AS total_missed_units, count(*) AS event_count
-        FROM stockouts, (SELECT max(created_at) AS newest FROM stockouts) AS c
-        WHERE date_trunc('hour', created_at) + INTERVAL 1 HOUR
-              <= date_trunc('milliseconds', newest) - INTERVAL 1 HOUR GROUP BY ALL""",
-    "stream_waste_today": """SELECT w.store_id, w.item_id, w.waste_date,
-        CAST(sum(w.quantity) AS BIGINT) AS waste_quantity, m.category,
-        round(sum(w.quantity) * m.cost, 6) AS waste_cost
-        FROM waste AS w JOIN menu AS m USING (item_id),
-             (SELECT max(created_at) AS newest FROM waste) AS c
-        WHERE w.waste_date + INTERVAL 1 DAY <= date_trunc('milliseconds', c.newest) - INTERVAL 1 DAY
-        GROUP BY w.store_id, w.item_id, w.waste_date, m.category, m.cost""",
+        FROM stockouts GROUP BY ALL""",
+    "stream_waste_today": """SELECT coalesce(s.store_id, w.store_id) AS store_id,
+        coalesce(s.item_id, w.item_id) AS item_id, coalesce(s.sale_date, w.waste_date) AS waste_date,
+        CAST(coalesce(s.quantity, 0) AS BIGINT) AS sales_quantity,
+        round(coalesce(s.revenue, 0), 6) AS sales_revenue,
+        CAST(coalesce(w.quantity, 0) AS BIGINT) AS waste_quantity, m.category,
+        round(coalesce(w.quantity, 0) * m.cost, 6) AS waste_cost
+        FROM (SELECT store_id, item_id, sale_date, sum(quantity) AS quantity,
+                     sum(quantity * price) AS revenue FROM sales GROUP BY ALL) AS s
+        FULL JOIN (SELECT store_id, item_id, waste_date, sum(quantity) AS quantity
+                   FROM waste GROUP BY ALL) AS w
+          ON s.store_id = w.store_id AND s.item_id = w.item_id AND s.sale_date = w.waste_date
+        JOIN menu AS m ON m.item_id = coalesce(s.item_id, w.item_id)""",
     "stream_inventory": """SELECT store_id, item_id,
         CAST(sum(CASE WHEN kind = 'sales' THEN quantity ELSE 0 END) AS BIGINT) AS requested,
         CAST(sum(CASE WHEN kind = 'waste' THEN 2 * quantity ELSE 0 END) AS BIGINT) AS cooked,
@@ -587,6 +588,8 @@ _BODIES = {
           AND time_bucket(INTERVAL 15 MINUTE, created_at) + INTERVAL 15 MINUTE
               <= date_trunc('milliseconds', c.newest) - INTERVAL 15 MINUTE
         GROUP BY store_id, item_id""",
+    "stream_append_logs": """SELECT kind, CAST(created_at AS DATE) AS day,
+        CAST(sum(quantity) AS BIGINT) AS units, count(*) AS n_events FROM log GROUP BY ALL""",
     "stream_append": """SELECT store_id, item_id, quantity, round(price, 6) AS price, created_at,
         sale_date AS event_date FROM sales""",
 }

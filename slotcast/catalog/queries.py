@@ -639,7 +639,10 @@ def _written_log(spark, sf):
 @query
 def read_events(spark, sf):
     """Daily units of each log after one flush that was written twice."""
-    path = _written_log(spark, sf)
+    return _daily_units(spark, _written_log(spark, sf))
+
+
+def _daily_units(spark, path):
     quantity = {"sales": "quantity", "waste": "quantity", "stockouts": "quantity_requested"}
     kinds = [
         event_source.read_events(spark, path, kind)
@@ -655,10 +658,9 @@ def union_stores(spark, sf):
     """Daily units per store from one folder per store."""
     path = new_folder(spark, "stores")
     m.raw_sales(spark, sf).write.partitionBy("store_id").parquet(path)
-    frames = {str(s): spark.read.parquet(f"{path}/store_id={s}") for s in range(12)}
     return (
-        event_source.union_stores(frames)
-        .groupBy("store_id", F.to_date("created_at").alias("sale_date"))
+        event_source.read_store_folders(spark, path)
+        .groupBy(F.col("store_id").cast("string").alias("store_id"), F.to_date("created_at").alias("sale_date"))
         .agg(F.sum("quantity").alias("units"))
     )
 
@@ -768,6 +770,14 @@ def _stream(spark, sf, types):
     return m.as_log(stream.filter(F.col("event_type").isin(*types)))
 
 
+def _drain_updates(spark, sdf, name, keys):
+    """Run a stream over what there is, and read the newest row of each group."""
+    folder = new_folder(spark, name)
+    sink = streams.upsert_sink(sdf, f"{folder}/out", f"{folder}/checkpoint")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return streams.read_upserts(spark, f"{folder}/out", sdf.schema, keys)
+
+
 def _drain(spark, sdf, name):
     """Run a stream over what there is into files, and read them."""
     folder = new_folder(spark, name)
@@ -778,21 +788,22 @@ def _drain(spark, sdf, name):
 
 @query
 def stream_slot_sales(spark, sf):
-    """The slots that the watermark has closed."""
+    """All slots, those that the watermark has not closed too."""
     sdf = streams.stream_slot_sales(_stream(spark, sf, m.SALE_TYPES))
-    return _drain(spark, sdf, "slots")
+    return _drain_updates(spark, sdf, "slots", ["store_id", "item_id", "sale_15min"])
 
 
 @query
 def stream_stockouts(spark, sf):
     sdf = streams.stream_stockouts(_stream(spark, sf, (m.STOCKOUT_TYPE,)))
-    return _drain(spark, sdf, "stockouts")
+    return _drain_updates(spark, sdf, "stockouts", ["store_id", "item_id", "stockout_date", "stockout_hour"])
 
 
 @query
 def stream_waste_today(spark, sf):
-    sdf = streams.stream_waste_today(_stream(spark, sf, (m.WASTE_TYPE,)), m.menu(spark))
-    return _drain(spark, sdf, "waste")
+    """Sales, revenue and waste of every day, the running one too."""
+    sdf = streams.stream_waste_today(_stream(spark, sf, (*m.SALE_TYPES, m.WASTE_TYPE)), m.menu(spark))
+    return _drain_updates(spark, sdf, "waste", ["store_id", "item_id", "waste_date"])
 
 
 @query
@@ -807,6 +818,18 @@ def stream_append(spark, sf):
     return spark.read.parquet(out)
 
 
+@query
+def stream_append_logs(spark, sf):
+    """Daily units of the three logs after a stream appended all events, and found nothing new."""
+    folder = new_folder(spark, "logs")
+    sdf = _stream(spark, sf, (*m.SALE_TYPES, m.WASTE_TYPE, m.STOCKOUT_TYPE))
+    for _ in range(2):
+        streams.stream_append_logs(
+            sdf, f"{folder}/out", f"{folder}/checkpoint", once=True
+        ).awaitTermination()
+    return _daily_units(spark, f"{folder}/out")
+
+
 @query
 def stream_inventory(spark, sf):
     """Units requested and cooked in the closed ticks, and units that are not accounted for."""

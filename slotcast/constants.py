@@ -71,3 +71,10 @@ URGENCY_THRESHOLD = 2.0
 # --- fixed values: scoring ---
 ARMS = ("ml", "baseline")
 ARM_METRICS = ("units_sold", "stockouts", "units_wasted", "waste_cost", "sales_revenue")
+
+# Sums of predictions are rounded to so many digits before they become whole units, so that the
+# order of summation does not decide ties.
+SUM_DIGITS = 9
+
+# Rows of a narrow frame that a join may broadcast, at some tens of bytes each.
+BROADCAST_ROWS = 500_000

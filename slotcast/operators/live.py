@@ -12,7 +12,7 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from slotcast.constants import KPI_GROUPS, QUEUES, SLOTS_PER_HOUR, SLOTS_PER_WEEK
+from slotcast.constants import KPI_GROUPS, QUEUES, SLOTS_PER_HOUR, SLOTS_PER_WEEK, SUM_DIGITS
 from slotcast.functions.slots import midnight, ntz, slot_of, slots_ahead
 
 Now = datetime | str | DataFrame
@@ -163,7 +163,7 @@ def production_queue(pred: DataFrame, stockouts: DataFrame, menu: DataFrame, now
         .select(
             "store_id",
             "item_id",
-            F.bround("predicted_units").cast("int").alias("predicted_units"),
+            F.bround(F.round("predicted_units", SUM_DIGITS)).cast("int").alias("predicted_units"),
             F.coalesce("missed_units", F.lit(0)).alias("missed_units"),
             "category",
             F.try_element_at(queue_of, F.col("category")).alias("queue"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotcast.constants import (
     AVAILABLE_HOURS,
+    BROADCAST_ROWS,
     ESTABLISHED_DAYS,
     HOURS_PER_DAY,
     LIMITED_CLOSE_HOUR,
@@ -22,6 +23,7 @@ from slotcast.constants import (
     SLOTS_PER_DAY,
     SLOTS_PER_HOUR,
     SLOTS_PER_WEEK,
+    SUM_DIGITS,
 )
 from slotcast.functions.scoring import effective_price as price_on_day
 from slotcast.functions.slots import day_of_slot, hour_of_slot, minute_of_slot, slot_of
@@ -56,12 +58,12 @@ def available_items(menu: DataFrame, day: date | Column, hour: int | Column) ->
 
 
 def open_hours_filter(df: DataFrame, stores: DataFrame, hour: str = "hour") -> DataFrame:
-    """Drop rows whose hour lies outside their store's opening hours."""
+    """Drop rows whose hour lies outside their store's opening hours; unknown stores are open."""
     closed = (F.col("hours") == LIMITED_HOURS) & (
         (F.col(hour) < LIMITED_OPEN_HOUR) | (F.col(hour) >= LIMITED_CLOSE_HOUR)
     )
     return (
-        df.join(stores.select("store_id", "hours"), "store_id")
+        df.join(stores.select("store_id", "hours"), "store_id", "left")
         .filter(~F.coalesce(closed, F.lit(False)))
         .drop("hours")
     )
@@ -85,21 +87,29 @@ def _store_item_hours(stores: DataFrame, menu: DataFrame, as_of: date | Column)
     """Every store with the items it may make, per hour of the day.
 
     Stores spread over the shuffle partitions before they are expanded, so the grid is born
-    distributed. Items meet stores on the hour of the day: an equi-join with items x hours as the
-    small side, never a cross join.
+    distributed. Each store needs all items of each hour, so this is a product by its nature; items x
+    hours is the small side, which is broadcast after its rows are counted (runs a job). A menu too
+    large for that meets the stores by a shuffle on hour and store group.
     """
     window = _hours_of(F.col("time_of_day"))
     item_hours = _sellable(menu, as_of).select(
         "item_id", "category", F.explode(F.sequence(window[0], window[1] - 1)).alias("sale_hour")
     )
+    parts = shuffle_partitions(stores.sparkSession)
     hours = F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1)))
-    return (
-        stores.select("store_id")
-        .repartition(shuffle_partitions(stores.sparkSession), "store_id")
-        .distinct()
-        .select("store_id", hours.alias("sale_hour"))
-        .join(item_hours, "sale_hour")
+    open_hours = (
+        stores.select("store_id").repartition(parts, "store_id").distinct().select("store_id", hours.alias("sale_hour"))
     )
+    if is_small(item_hours):
+        return open_hours.join(F.broadcast(item_hours), "sale_hour")
+    groups = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("store_group")
+    grouped = open_hours.withColumn("store_group", F.pmod(F.hash("store_id"), F.lit(parts)))
+    return grouped.join(item_hours.select("*", groups), ["sale_hour", "store_group"]).drop("store_group")
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame of a few narrow columns may be broadcast (runs a job that stops at the bound)."""
+    return df.limit(rows + 1).count() <= rows
 
 
 def _slots_of_hour(hour: Column) -> Column:
@@ -195,13 +205,14 @@ def route_rows(df: DataFrame, vocab: DataFrame | None = None, min_days: int = ES
 def cold_prediction(df: DataFrame, cold_profile: DataFrame, ratio: DataFrame) -> DataFrame:
     """Category mean times the store's traffic ratio, as ``predicted_units``.
 
-    A slot without a category profile gets 0.
+    A slot without a category profile gets 0. The profile has 672 rows per category; it is broadcast
+    after a count of its rows (runs a job), so that the grid is not shuffled by category.
     """
     category = cold_profile.select(
         "category", "slot_index", F.col("avg_slot_quantity").alias("category_avg")
     )
     return (
-        df.join(category, ["category", "slot_index"], "left")
+        df.join(F.broadcast(category) if is_small(category) else category, ["category", "slot_index"], "left")
         .join(ratio.select("store_id", "traffic_ratio"), "store_id", "left")
         .withColumn(
             "predicted_units", F.coalesce("category_avg", F.lit(0.0)) * F.col("traffic_ratio")
@@ -249,19 +260,17 @@ def production_plan(
 ) -> DataFrame:
     """Predicted units for each row of the grid.
 
-    ``model`` adds ``predicted_units`` to its input. Every row passes through once and its route
-    picks the prediction, so the grid is neither split nor built three times, and no row is lost.
+    ``model`` adds ``predicted_units`` to its input, which are the warm rows alone. Warm and other
+    rows are two branches over the same grid, whose shuffles Spark makes once and reads twice.
     """
     features = grid_features(stores, menu, profile, as_of)
-    routed = with_weekend(attach_weather(route_rows(features, vocab), stores, weather_by_region))
-    warm = model(routed).withColumnRenamed("predicted_units", "warm_units")
-    chosen = (
-        F.when(F.col("route") == "warm", F.col("warm_units"))
-        .when(F.col("route") == "zero", F.lit(0.0))
-        .otherwise(F.col("predicted_units"))
-    )
-    return cold_prediction(warm, cold, ratio).select(
-        *ITEM, chosen.alias("predicted_units"), "slot_index"
+    routed = route_rows(features, vocab)
+    is_warm = F.col("route") == "warm"
+    warm = model(with_weekend(attach_weather(routed.filter(is_warm), stores, weather_by_region)))
+    others = cold_prediction(routed.filter(~is_warm), cold, ratio)
+    chosen = F.when(F.col("route") == "zero", F.lit(0.0)).otherwise(F.col("predicted_units"))
+    return warm.select(*ITEM, "predicted_units", "slot_index").unionByName(
+        others.select(*ITEM, chosen.alias("predicted_units"), "slot_index")
     )
 
 
@@ -314,7 +323,7 @@ def replenishment(lookahead: DataFrame, on_hand: DataFrame, now: Now) -> DataFra
     return (
         with_now(lookahead, now)
         .join(on_hand.select(*ITEM, "on_shelf", "in_progress"), ITEM, "left")
-        .withColumn("gap", F.col("predicted_units") - committed)
+        .withColumn("gap", F.round(F.col("predicted_units") - committed, SUM_DIGITS))
         .select(
             *ITEM,
             F.col("predicted_units").alias("demand"),

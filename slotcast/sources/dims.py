@@ -14,11 +14,16 @@ from slotcast.schemas import MENU, MENU_CSV, STORES, WEATHER
 def read_dims_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """``stores``, ``menu_items`` and ``weather_daily`` with fixed schemas.
 
-    ``sale_days`` is a list in text form and becomes an array.
+    Columns are found by the names in the header, in any order; further ones are left out, and a
+    missing one is an error. ``sale_days`` is a list in text form and becomes an array.
     """
 
     def read(name: str, schema: StructType) -> DataFrame:
-        return spark.read.csv(os.path.join(folder, f"{name}.csv"), header=True, schema=schema)
+        text = spark.read.csv(os.path.join(folder, f"{name}.csv"), header=True)
+        missing = [f.name for f in schema if f.name not in text.columns]
+        if missing:
+            raise ValueError(f"{name}.csv has no column {', '.join(missing)}")
+        return text.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
     menu = read("menu_items", MENU_CSV)
     return {

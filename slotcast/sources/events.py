@@ -33,10 +33,20 @@ def read_events(spark: SparkSession, path: str, kind: str, since: datetime | Non
     return events.select(*schema.names)
 
 
+def read_store_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Logs that come one folder per store (``store_id=...``), in one scan.
+
+    Whatever stores there are, are read; the id is the folder's. Columns meet by name; missing ones
+    are null.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def union_stores(stores: dict[str, DataFrame]) -> DataFrame:
-    """Tag each store's frame with its id and stack them.
+    """Tag each store's frame with its id and stack them; for a few stores, one plan branch each.
 
-    For logs that still come one per store. Columns meet by name; missing ones are null.
+    Columns meet by name; missing ones are null. Many stores belong in folders, see
+    :func:`read_store_folders`.
     """
     tagged = (df.withColumn("store_id", F.lit(store_id)) for store_id, df in stores.items())
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
@@ -79,14 +89,14 @@ def delete_from_cutoff(spark: SparkSession, tables: list[str], cutoff: datetime
     """Delete events with ``created_at >= cutoff`` from date-partitioned tables (runs jobs).
 
     Later dates are dropped as partitions without being read; only the cutoff's own date is
-    rewritten. Every step may be repeated, so an interrupted run is finished by running it again.
+    rewritten. Events without a time are kept. Every step may be repeated, so an interrupted run is
+    finished by running it again.
     """
     cutoff_day = str(cutoff)[:10]
     whole_day = str(cutoff)[11:] in ("", "00:00:00")
     for table in tables:
-        days = sorted(
-            row.partition.split("=")[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
-        )
+        values = (row.partition.split("=")[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+        days = sorted(v for v in values if _is_day(v))
         dropped = [d for d in days if d > cutoff_day or (whole_day and d == cutoff_day)]
         if cutoff_day in days and not whole_day:
             kept = stage(
@@ -105,6 +115,15 @@ def delete_from_cutoff(spark: SparkSession, tables: list[str], cutoff: datetime
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
+def _is_day(value: str) -> bool:
+    """False for the partition of rows without a date."""
+    try:
+        date.fromisoformat(value)
+    except ValueError:
+        return False
+    return True
+
+
 def _replace_partitions(df: DataFrame, table: str) -> None:
     """Overwrite only the partitions that ``df`` has rows in."""
     conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"

@@ -6,12 +6,17 @@ clock read as UTC and results are turned back; the session time zone plays no pa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import os
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from slotcast.functions.slots import from_event_time, slot_of, to_event_time
+from slotcast.sources.events import append_events
 
 FLUSH_INTERVAL = "5 minutes"
+EPOCH = "epoch"
 
 
 def _windowed(sdf: DataFrame, delay: str, width: str, sums: dict) -> DataFrame:
@@ -50,12 +55,28 @@ def stream_stockouts(sdf: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def stream_waste_today(sdf: DataFrame, menu: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Running waste per store, item and day, with its cost. ``menu`` is a static table."""
-    sums = _windowed(sdf, delay, "1 day", {"waste_quantity": F.col("quantity")})
+    """Running sales, revenue and waste per store, item and day, with the waste's cost.
+
+    ``sdf`` holds sales and waste with their ``kind``; ``menu`` is a static table. In update mode
+    (:func:`upsert_sink`) the current day is given out as it grows.
+    """
+    sold, wasted = F.col("kind") == "sales", F.col("kind") == "waste"
+    sums = _windowed(
+        sdf,
+        delay,
+        "1 day",
+        {
+            "sales_quantity": F.when(sold, F.col("quantity")).otherwise(0),
+            "sales_revenue": F.when(sold, F.col("quantity") * F.col("price")).otherwise(0),
+            "waste_quantity": F.when(wasted, F.col("quantity")).otherwise(0),
+        },
+    )
     return sums.join(menu.select("item_id", "category", "cost"), "item_id", "left").select(
         "store_id",
         "item_id",
         F.to_date("starts_at").alias("waste_date"),
+        "sales_quantity",
+        "sales_revenue",
         "waste_quantity",
         "category",
         (F.col("waste_quantity") * F.col("cost")).alias("waste_cost"),
@@ -73,6 +94,40 @@ def file_sink(
     )
 
 
+def upsert_sink(sdf: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Give out every group that changed, open windows too, one folder per trigger.
+
+    A trigger that is retried overwrites its folder, so nothing is doubled. :func:`read_upserts`
+    reads the newest row of each group.
+    """
+
+    def write(df: DataFrame, epoch: int) -> None:
+        df.write.mode("overwrite").parquet(os.path.join(path, f"{EPOCH}={epoch}"))
+
+    return sdf.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def read_upserts(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """The newest row of each group that :func:`upsert_sink` wrote."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField(EPOCH, LongType())])).parquet(path)
+    values = F.struct(*(f.name for f in schema if f.name not in keys))
+    newest = rows.groupBy(*keys).agg(F.max_by(values, EPOCH).alias("newest"))
+    return newest.select(*keys, "newest.*").select(*schema.names)
+
+
+def stream_append_logs(
+    sdf: DataFrame, path: str, checkpoint: str, every: str = FLUSH_INTERVAL, once: bool = False
+) -> StreamingQuery:
+    """Append events with their ``kind`` to the three logs, one flush per trigger, exactly once."""
+    trigger = {"availableNow": True} if once else {"processingTime": every}
+    return (
+        sdf.writeStream.foreachBatch(lambda df, epoch: append_events(df, epoch, path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def stream_append(
     sdf: DataFrame, path: str, checkpoint: str, every: str = FLUSH_INTERVAL, once: bool = False
 ) -> StreamingQuery:

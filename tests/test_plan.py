@@ -145,6 +145,8 @@ def test_availability_and_open_hours(make, stores, menu):
     hours = make([(s, h) for s in "st" for h in (0, 4, 5, 22, 23)], "store_id string, hour int")
     kept = {tuple(r) for r in plan.open_hours_filter(hours, stores).collect()}
     assert kept == {("s", h) for h in (0, 4, 5, 22, 23)} | {("t", 5), ("t", 22)}
+    unknown = make([("unknown", 3)], "store_id string, hour int")
+    assert plan.open_hours_filter(unknown, stores).count() == 1
 
 
 def test_effective_price(make):

@@ -60,3 +60,13 @@ def test_sums_are_combined_before_the_shuffle(physical):
         first = physical(name).split("FileScan parquet")[0]
         assert "partial_" in first, name
         assert "SortAggregate" not in first, name
+
+
+def test_the_plan_that_runs_shuffles_the_grid_by_store_and_item(spark):
+    out = QUERIES["production_plan"](spark, SF)
+    out.collect()  # the adaptive plan is final once it has run
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", final)
+    for keys in re.findall(r"hashpartitioning\(([^)]*)\)", final):
+        names = {re.sub(r"#.*", "", k.strip()) for k in keys.split(",")[:-1]}
+        assert names not in ({"sale_hour"}, {"category", "slot_index"}), keys

@@ -95,6 +95,39 @@ def test_dimension_files(spark, tmp_path):
     assert read["weather_daily"].first().precip and read["stores"].first().level == 2
 
 
+def test_dimension_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "stores.csv").write_text("name,store_id,hours,extra,region,level,active\nS,s,24/7,x,north,2,True\n")
+    (tmp_path / "menu_items.csv").write_text("name,item_id\nItem,A\n")
+    (tmp_path / "weather_daily.csv").write_text("sale_date,precip,region,temp_f\n2026-05-20,True,north,30.5\n")
+    with pytest.raises(ValueError, match="menu_items.csv has no column"):
+        dims.read_dims_csv(spark, str(tmp_path))
+    (tmp_path / "menu_items.csv").write_text(
+        "name,item_id,added,active,popularity,hold_time,category,time_of_day,cost,sale_days,sale_price,price\n"
+        'Item,A,2024-01-01,True,5,2,side,all_day,1.20,"[2, 5]",,2.99\n'
+    )
+    read = dims.read_dims_csv(spark, str(tmp_path))
+    assert read["stores"].first().store_id == "s" and read["stores"].first().level == 2
+    assert read["weather_daily"].first().region == "north" and read["weather_daily"].first().temp_f == 30.5
+    assert read["menu_items"].first().price == 2.99 and read["menu_items"].first().sale_days == [2, 5]
+
+
+def test_delete_keeps_events_without_a_time(spark, schema, make):
+    events.ensure_tables(spark, schema)
+    rows = [("sales", "s", "a", 1, None, 2.5, "2024-01-01 10:00:00"), ("sales", "s", "a", 2, None, 2.5, None),
+            ("sales", "s", "a", 4, None, 2.5, "2024-01-03 10:00:00")]
+    events.insert_events(make(rows, LOG), "sales", f"{schema}.sales_events")
+    events.delete_from_cutoff(spark, [f"{schema}.sales_events", f"{schema}.waste_log"], "2024-01-02")
+    assert {r.quantity for r in spark.table(f"{schema}.sales_events").collect()} == {1, 2}
+
+
+def test_store_folders_are_read_as_they_are(spark, make, tmp_path):
+    path = str(tmp_path / "stores")
+    make([("x", 1)], "item_id string, quantity int").write.parquet(f"{path}/store_id=s")
+    make([("y", 2, 0.5)], "item_id string, quantity int, price double").write.parquet(f"{path}/store_id=t9")
+    rows = as_dicts(events.read_store_folders(spark, path), "store_id")
+    assert [(r["store_id"], r["item_id"], r["price"]) for r in rows] == [("s", "x", None), ("t9", "y", 0.5)]
+
+
 def test_dimension_yaml(spark, tmp_path):
     pytest.importorskip("yaml")
     (tmp_path / "menu.yaml").write_text(

@@ -53,6 +53,22 @@ def test_stockouts_equal_the_batch(spark, tmp_path):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_updates_give_the_running_day_and_survive_a_repeat(spark, make, tmp_path):
+    columns = "kind string, store_id string, item_id string, quantity int, price double, created_at timestamp_ntz"
+    menu = make([("a", "side", 0.5)], "item_id string, category string, cost double")
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    for row in [("sales", "s", "a", 2, 1.5, "2024-01-01 10:00:00"), ("waste", "s", "a", 4, None, "2024-01-01 11:00:00"),
+                ("sales", "s", "a", 1, 1.5, "2024-01-01 12:00:00")]:
+        df = make([row], columns)
+        df.write.mode("append").parquet(source)
+        sdf = streams.stream_waste_today(spark.readStream.schema(df.schema).parquet(source), menu)
+        sink = streams.upsert_sink(sdf, out, checkpoint).trigger(availableNow=True)
+        sink.start().awaitTermination()
+    keys = ["store_id", "item_id", "waste_date"]
+    row = streams.read_upserts(spark, out, sdf.schema, keys).collect()
+    assert [(r.sales_quantity, r.sales_revenue, r.waste_quantity, r.waste_cost) for r in row] == [(3, 4.5, 4, 2.0)]
+
+
 def test_append_resumes_where_it_stopped(spark, make, tmp_path):
     rows = [("s", "a", 1, f"2024-01-0{d} 10:00:00") for d in (1, 2)]
     columns = "store_id string, item_id string, quantity int, created_at timestamp_ntz"
