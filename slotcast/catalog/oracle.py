@@ -364,6 +364,13 @@ _BODIES = {
         round(avg_slot_quantity, 6) AS predicted_units FROM profile""",
     "regression_metrics": """SELECT round(avg(abs(slot_quantity - avg_slot_quantity)), 6) AS mae,
         round(sqrt(avg((slot_quantity - avg_slot_quantity) ** 2)), 6) AS rmse FROM hold_out""",
+    "boosted_trees": """SELECT count(*) AS test_rows,
+        round(avg(abs(slot_quantity - avg_slot_quantity)), 6) AS base_mae,
+        round(sqrt(avg((slot_quantity - avg_slot_quantity) ** 2)), 6) AS base_rmse, true AS finite,
+        (SELECT count(*) FROM split WHERE part = 'train') AS train_rows FROM hold_out""",
+    "production_plan_model": """SELECT p.store_id, p.item_id, p.slot_index, r.route,
+        CASE WHEN r.route <> 'warm' THEN round(p.predicted_units, 6) END AS predicted_units,
+        true AS finite FROM plan AS p JOIN routed AS r USING (store_id, item_id, slot_index)""",
     "improvement_pct": """SELECT round(base_mae, 6) AS base_mae, round(new_mae, 6) AS new_mae,
         round(base_rmse, 6) AS base_rmse, round(new_rmse, 6) AS new_rmse,
         round((base_mae - new_mae) / base_mae * 100, 6) AS mae_improvement_pct,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from slotcast.constants import TREES
@@ -27,6 +27,15 @@ def train(features: DataFrame, trees: int = TREES) -> tuple[Model, DataFrame]:
     return ml.fit_boosted_trees(train_rows, trees), test_rows
 
 
+def save_model(model: Model, path: str) -> None:
+    """Store a fitted model, in place of any at ``path``; training and planning are separate runs."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> Model:
+    return PipelineModel.load(path)
+
+
 def evaluate(model: Model, test_rows: DataFrame) -> DataFrame:
     """MAE and RMSE of the model and of the profile mean on held-out rows, and the gain."""
     scored = ml.predict_warm(model, test_rows)
@@ -52,11 +61,15 @@ def publish_plan(
     marts: dict[str, DataFrame],
     dims: Dims,
     as_of: date | Column,
-    model: Model,
+    model: Model | str,
     table: str = "predictions",
     weather_by_region: DataFrame | None = None,
 ) -> None:
-    """Write the plan, in store order, so that a store's dashboard reads few row groups."""
+    """Write the plan, in store order, so that a store's dashboard reads few row groups.
+
+    ``model`` is a fitted model or the path of a stored one.
+    """
+    model = load_model(model) if isinstance(model, str) else model
     predict: Callable[[DataFrame], DataFrame] = lambda df: ml.predict_warm(model, df)
     plan = production_plan(
         dims.stores,
