@@ -7,8 +7,9 @@
 3. Round one: every member of a bucket points to the bucket's smallest id, and each document keeps
    the hub that it shares most buckets with. So a group of n near copies costs n edges.
 4. Round two confirms the other star edges between documents that are not yet in one component.
-5. Round three takes what stars can miss: pairs in one bucket but in different components. Large
-   buckets of this kind are split by a second and third band before pairs are made.
+5. Round three takes what stars can miss: pairs in one bucket but in different components. First,
+   shingles that no other document of such buckets has are counted; they cannot be common, and their
+   number rules out nearly all pairs of far copies without comparing them. The rest is confirmed.
 
 Every link is confirmed on full sets. Sets of hub and members meet in blocks of bounded size, so a
 hub with many members is spread over tasks. Links, components and sketches stay in tables.
@@ -17,7 +18,6 @@ hub with many members is spread over tasks. Links, components and sketches stay
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ from slotcast.llm.common import by_batch, narrow, shuffle_partitions, stage, tab
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
-#: Members of a bucket beyond which it is split by further bands, and members of a block.
-BUCKET, BLOCK = 128, 512
+#: Members of a block, of which each has the hub's set once.
+BLOCK = 512
 #: Ids in a broadcast list, of 8 bytes each; beyond it the join shuffles.
 LISTED = 1_000_000
 
@@ -121,7 +121,10 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose full sets have the wanted likeness (runs jobs)."""
+    """(a, b, both, link) of distinct pairs: common shingles, and whether the likeness suffices (runs jobs).
+
+    A pair of which an id names several texts is as alike as its most alike texts.
+    """
     spark = docs.sparkSession
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     placed = pairs.join(blocks, "a").select(
@@ -155,7 +158,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, hubs = None, []
         for batch in batches:
-            links = []
+            done = []
             for block, hub, a, b, hashes in zip(*[c.to_pylist() for c in batch.columns]):
                 mine = np.frombuffer(hashes, np.uint64)
                 if (block, a) != at:
@@ -163,13 +166,13 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
                 if hub:
                     hubs.append(mine)
                     continue
-                for other in hubs:
-                    both = len(np.intersect1d(other, mine, assume_unique=True))
-                    if both and 100 * both >= percent * (len(other) + len(mine) - both):
-                        links.append((a, b))
-                        break
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
+                found = [(len(np.intersect1d(x, mine, assume_unique=True)), len(x) + len(mine)) for x in hubs]
+                link = any(both and 100 * both >= percent * (size - both) for both, size in found)
+                done.append((a, b, max((both for both, _ in found), default=0), link))
+            if done:
+                kinds = [*[pa.int64()] * 3, pa.bool_()]
+                arrays = [pa.array(c, k) for c, k in zip(zip(*done), kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "both", "link"])
 
     met = (
         _only(docs, stage(wanted, "wanted"))
@@ -177,7 +180,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
         .repartition(shuffle_partitions(spark), "block")
         .sortWithinPartitions("block", "a", F.desc("hub"))
     )
-    return stage(met.mapInArrow(compare, "a long, b long"), "links")
+    return stage(met.mapInArrow(compare, "a long, b long, both long, link boolean"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -212,24 +215,61 @@ def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of buckets that hold more than one component, with the size of the bucket."""
+    """Rows of buckets that hold more than one component, with the bucket's most common one."""
     sizes = rows.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.mode("comp").alias("main")
     )
-    return rows.join(sizes.where("low <> high").select("bucket", "size"), "bucket")
+    return rows.join(sizes.where("low <> high").select("bucket", "main"), "bucket")
+
+
+def _shared(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, lone): how many shingles of a document no other one of ``ids`` has (runs a job)."""
+
+    def make():
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [shingles(text, words).view(np.int64) for text in texts_of(batch)]
+            arrays = [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "hashes"])
+
+        return one
+
+    sets = by_batch(_only(docs, ids), make, "doc_id long, hashes array<long>")
+    once = (
+        sets.select("doc_id", F.explode("hashes").alias("hash"))
+        .groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
+        .where("n = 1")
+    )
+    return once.groupBy("doc_id").agg(F.count(F.lit(1)).alias("lone"))
 
 
 def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components and whose sizes allow a link."""
-    left = rows.select("bucket", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("c_a"))
-    right = rows.select("bucket", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("c_b"))
-    return (
-        left.join(right, "bucket")
-        .where("a < b and c_a <> c_b")
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .select("a", "b")
-        .distinct()
+    """Pairs of a bucket that lie in different components and whose sizes allow a link.
+
+    A link needs a common part of ``percent`` / (100 + percent) of both sizes together. It has none
+    of the lone shingles of either side; where both were compared with one hub, it is made of what
+    they share with the hub (``hub_both`` each) and of what they share beside it (``other`` each).
+    Members of the bucket's main component meet only the others. A pair comes from its first band.
+    """
+
+    def side(rows: DataFrame, tag: str) -> DataFrame:
+        names = ("doc_id", "n", "comp", "common", "hub", "hub_both", "other", "bands")
+        return rows.select("bucket", "band", *[F.col(c).alias(f"{c}_{tag}") for c in names])
+
+    one, two = side(rows.where("comp <> main"), "x"), side(rows.drop("band").withColumn("band", F.lit(0)), "y")
+    most = F.when(
+        F.col("hub_x") == F.col("hub_y"),
+        F.least("hub_both_x", "hub_both_y") + F.least("other_x", "other_y"),
+    ).otherwise(F.least("common_x", "common_y"))
+    before = [F.slice(c, F.lit(1), one["band"]) for c in ("bands_x", "bands_y")]
+    fits = (
+        (one["bucket"] == two["bucket"])
+        & (F.col("comp_x") != F.col("comp_y"))
+        & ((100 + percent) * most >= percent * (F.col("n_x") + F.col("n_y")))
+        & ~F.arrays_overlap(*before)
     )
+    ends = F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")
+    return one.join(two, fits).select(*ends).distinct()
 
 
 def near_duplicates(
@@ -252,7 +292,7 @@ def near_duplicates(
         classed.where("doc_id = rep").select("doc_id", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["doc_id", "n"]),
         "reps",
     )
-    rows = reps.select("doc_id", "n", F.explode("bands").alias("bucket"))
+    rows = reps.select("doc_id", "n", F.posexplode("bands").alias("band", "bucket"))
 
     hubs = rows.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
     star = stage(
@@ -264,7 +304,8 @@ def near_duplicates(
     )
     best = star.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
     best = stage(best, "best")
-    links = confirm(docs, best, words, percent)
+    checked = confirm(docs, best, words, percent)
+    links = checked.where("link").select("a", "b")
     # copies under one id with different texts stay one node through the class of each
     same = members.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     comps = components(links)
@@ -274,27 +315,30 @@ def near_duplicates(
     more = _across(more, comps)
     found = stage(more, "more")
     if not found.isEmpty():
-        links = links.unionByName(confirm(docs, found, words, percent))
+        links = links.unionByName(confirm(docs, found, words, percent).where("link").select("a", "b"))
         seen = seen.unionByName(found)
         comps = components(links)
 
-    rest = _mixed(_with_components(rows, comps))
-    parts = []
-    for depth in range(3):
-        rest = stage(rest, "mixed")
-        small = rest if depth == 2 else rest.where(F.col("size") <= BUCKET)
-        parts.append(_pairs_across(small, percent))
-        large = rest.where(F.col("size") > BUCKET)
-        if depth == 2 or large.isEmpty():
-            break
-        # equal keys of two bands: most pairs that are alike enough still meet, many times over
-        again = large.join(reps.select("doc_id", F.explode("bands").alias("second")), "doc_id")
-        again = again.select("doc_id", "n", "comp", F.xxhash64("bucket", "second").alias("bucket"))
-        rest = _mixed(again.distinct())
-    pairs = reduce(DataFrame.unionByName, parts).distinct().join(seen, ["a", "b"], "left_anti")
+    rest = stage(_mixed(_with_components(rows, comps)).drop("main"), "mixed")
+    stars = checked.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), F.col("both").alias("hub_both"))
+    near = rest.select("doc_id").distinct()
+    near = near.unionByName(near.join(stars, "doc_id").select(F.col("hub").alias("doc_id"))).distinct()
+    lone = F.coalesce("lone", F.lit(0))
+    rest = (
+        rest.join(_shared(docs, stage(near, "mixed-ids"), words), "doc_id", "left")
+        .withColumn("common", F.col("n") - lone)
+        .where(100 * F.col("common") >= percent * F.col("n"))
+        .join(stars, "doc_id", "left")  # the hub is among ``near``, so it has no lone shingle of another
+        .withColumn("hub", F.coalesce("hub", "doc_id"))
+        .withColumn("hub_both", F.coalesce("hub_both", "n"))
+        .withColumn("other", F.greatest(F.col("common") - F.col("hub_both"), F.lit(0)))
+        .drop("lone")
+    )
+    rest = stage(_mixed(rest), "able").join(reps.select("doc_id", "bands").dropDuplicates(["doc_id"]), "doc_id")
+    pairs = _pairs_across(rest, percent).join(seen, ["a", "b"], "left_anti")
     pairs = stage(pairs, "pairs")
     if not pairs.isEmpty():
-        links = links.unionByName(confirm(docs, pairs, words, percent))
+        links = links.unionByName(confirm(docs, pairs, words, percent).where("link").select("a", "b"))
     comps = components(links.unionByName(same))
     return known.join(comps, "doc_id", "left").select(
         "doc_id",
