@@ -52,6 +52,13 @@ def fixture():
                     at = rng.randrange(len(copy))
                     copy[at : at + 1] = words(rng.randint(0, 2)) or ["x"]
                 rows.append(rng.choice([" ", "\n", "\t "]).join(copy).upper() if rng.random() < 0.3 else " ".join(copy))
+    original = words(150)  # far copies of one text, with edits that several of them share
+    for _ in range(150):
+        copy = list(original)
+        for _ in range(rng.randint(0, 9)):
+            at = rng.randrange(0, len(copy) - 1, 5)
+            copy[at : at + 1] = rng.choice([[], [], ["x"], words(1), words(2)])
+        rows.append(" ".join(copy))
     passage = words(60)
     rows += [" ".join([*words(40), *passage, *words(40)]) for _ in range(40)]
     rows += ["", "  \n", None, None]
