@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from slotcast.llm.common import by_batch, narrow, shuffle_partitions, stage, table, texts_of
 
 LENGTH, GRAM = 200, 64
-#: Contexts of one gram that a task takes; bytes of suffixes in a sorted run; broadcast ids.
-HOT, RUN_BYTES, LISTED = 20_000, 32_000_000, 1_000_000
+#: Contexts of one gram that a task takes; bytes of suffixes in a sorted run; broadcast list entries.
+HOT, RUN_BYTES, LISTED = 20_000, 32_000_000, 250_000
 _BASE = 0xC2B2AE3D27D4EB4F
 _SEGMENT = 1 << 18
 _PLACE_BITS = 24
@@ -409,9 +409,13 @@ def counted_answers(needed: DataFrame, length: int) -> DataFrame:
     return windows.join(twice, ["h1", "h2"], "left_semi").groupBy("gram", "context").agg(spans.alias("spans"))
 
 
+def _entries(lists: DataFrame, name: str) -> int:
+    return lists.select(F.sum(F.size(name))).first()[0] or 0
+
+
 def _texts_with(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One row for each text that has wanted anchors; few ids are broadcast, by count."""
-    few = wanted.count() <= LISTED // 8
+    """One row for each text that has wanted anchors; short lists are broadcast, by their entries."""
+    few = _entries(wanted, "wanted") <= LISTED
     return docs.select("doc", "t1", "text").join(F.broadcast(wanted) if few else wanted, ["doc", "t1"])
 
 
@@ -456,7 +460,7 @@ def _splitters(texts: DataFrame, wanted: DataFrame, parts: int, gram: int, keep:
     Suffixes of one gram fall into one bucket. Runs a job.
     """
     sample = texts.select("text", F.explode("wanted").alias("w"))
-    total = wanted.select(F.sum(F.size("wanted"))).first()[0] or 1
+    total = max(1, _entries(wanted, "wanted"))
     share = max(1, total // (parts * keep))
     picked = sample.where(F.pmod("w.gram", F.lit(share)) == 0).select(
         "text", (F.col("w.start") + F.col("w.offset")).alias("at")
@@ -490,7 +494,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         text.alias("text"),
     )
     found = stage(repeats(docs, length, gram), "repeats")
-    few = found.count() <= LISTED // 8
+    few = _entries(found, "spans") <= LISTED
     joined = docs.join(F.broadcast(found) if few else found, ["doc", "t1"], "left").select("doc_id", "text", "spans")
 
     def make():
