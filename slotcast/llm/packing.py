@@ -14,8 +14,11 @@
 from __future__ import annotations
 
 import re
+import sys
 import zlib
-from collections.abc import Iterable
+from array import array
+from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,8 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 # Letters that normalisation leaves as they are and that lower-case one by one.
 _LETTERS = "a-zß-öø-ÿ"
-_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
-_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+").findall
-_KNOWN: dict = {"words": {}, "chunks": {}, "model": None}
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ \\n\\t\\r]*").fullmatch
+_WORDS = re.compile(f"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^{_LETTERS}0-9\\s]+").findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -40,50 +42,59 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+class Known(dict):
+    """Values of words met before. Beyond ``limit`` words the older half is dropped when unused."""
+
+    def __init__(self, value_of: Callable[[str], bytes], limit: int):
+        self.value_of, self.limit, self.old = value_of, limit // 2, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.old.get(word)
+        if value is None:
+            value = self.value_of(word)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
 class Ids:
-    """Ids of whole texts as little-endian 32-bit bytes, through bounded tables of known words.
+    """Ids of whole texts as little-endian 32-bit bytes, through a bounded tables of known words.
 
     White space separates words in this vocabulary and is dropped, so a text's ids are those of
     its chunks between blanks and line ends. A chunk of plain letters, digits and signs is cut into
-    words here; any other chunk goes to the tokenizer whole.
+    words here, which the tokenizer's own merges turn into ids; any other goes to the tokenizer whole.
     """
 
-    def __init__(self, model: str, words: int = 600_000, chunks: int = 300_000):
-        if _KNOWN["model"] != hash(model):
-            _KNOWN.update(words={}, chunks={}, model=hash(model))
+    def __init__(self, model: str, words: int = 800_000, chunks: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = False
         self.bpe = self.tokenizer.model
         self.letters = _byte_letters()
-        self.limits = words, chunks
+        self.words = Known(self._word, words)
+        self.chunks = Known(self._chunk, chunks)
 
     def _word(self, word: str) -> bytes:
         spelled = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.bpe.tokenize(spelled)], "<u4").tobytes()
+        return array("I", [t.id for t in self.bpe.tokenize(spelled)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if not _SIMPLE(chunk) or "<|" in chunk:
-            return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        out, known = [], _KNOWN["words"]
-        for word in _WORDS(chunk.lower()):
-            ids = known.get(word)
-            if ids is None:
-                if len(known) > self.limits[0]:
-                    known.clear()
-                ids = known[word] = self._word(word)
-            out.append(ids)
-        return b"".join(out)
+        if _SIMPLE(chunk) and "<|" not in chunk:
+            return b"".join(map(self.words.__getitem__, _WORDS(chunk.lower())))
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def of(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        known = _KNOWN["chunks"]
-        if len(known) > self.limits[1]:
-            known.clear()
-        for chunk in set(chunks).difference(known):
-            known[chunk] = self._chunk(chunk)
-        return b"".join(map(known.__getitem__, chunks))
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+@lru_cache(maxsize=1)
+def _ids(model: str) -> Ids:
+    """Kept by a Python worker between its tasks."""
+    if array("I").itemsize != 4 or sys.byteorder != "little":
+        raise RuntimeError("ids are written as this machine's 32-bit little-endian integers")
+    return Ids(model)
 
 
 def cut_pieces(
@@ -103,7 +114,7 @@ def cut_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def make():
-        ids_of = Ids(shared.value).of
+        ids_of = _ids(shared.value).of
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
