@@ -25,7 +25,7 @@ WIDTH = 8
 LISTED = 1_000_000
 
 MARK = "\u0001"  # set before a name
-NAME_AT = r"(?<=[\p{L}0-9,;:)][ ])(?=\p{Lu}\p{Ll})"
+NAME_AT = r"(?<=[\p{L}0-9,;)][ ])(?=\p{Lu}\p{Ll})"
 TOKEN = rf"{MARK}?\p{{L}}+|[0-9]+(?:[.,:/][0-9]+)*|[%$€£°]"
 NUMBER_WORDS = (
     "two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million "
