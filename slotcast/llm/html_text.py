@@ -7,8 +7,8 @@
    number, less the share of linked text: the ratio of the path.
 3. Ratios are smoothed over paths with the same parent, fused with the parents that hold them, and
    the container is found: the deepest path that holds nearly all of the weight.
-4. Paths under the container whose smoothed ratio passes a threshold, which headings and short
-   paragraphs pass through their neighbours, give the text, in page order.
+4. Paths under the container whose fused ratio passes a threshold, which headings, list items and
+   short paragraphs pass through their neighbours and parents, give the text, in page order.
 """
 
 from __future__ import annotations
@@ -84,13 +84,13 @@ def _unwanted(tag: str, attributes: str, path: list) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id", "role", "itemprop") and tag not in ("article", "main"):
+        if name in ("class", "id", "role", "itemprop") and tag != "main":
             own = any(t in ("article", "main") for t, _ in path)
             for part in value.split():
                 words = [x.lower() for x in _SPLIT.split(part) if x]
                 if not words or words[0] in _STATES or words[-1] in ("layout", "enabled", "page"):
                     continue  # says something of the page, as in "with-sidebar"
-                if any(w in _NAMES and not (own and w == "header") for w in words):
+                if any(w in _NAMES and not (own and w == "header") for w in [*words, "".join(words)]):
                     return True
     return False
 
@@ -184,7 +184,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
     return out
 
 
-def content(page: str, threshold: float = 0.1, hold: float = 0.8) -> str:
+def content(page: str, threshold: float = 0.02, hold: float = 0.8) -> str:
     """The main text of a page, blocks joined by one blank; empty if there is none."""
     found = [b for b in blocks(page) if not b[3]]
     if not found:
@@ -218,9 +218,23 @@ def content(page: str, threshold: float = 0.1, hold: float = 0.8) -> str:
     else:
         held = [p for p in weight if weight[p] >= hold * total and not (p and p[-1] in ("p", "li", "td"))]
         root = max(held, key=lambda p: (len(p), weight[p]))
+    # a path takes over half of its parent's mean for each level, less its share of linked text, so
+    # that short list items and cells of an article stay and lists of links do not
+    means = defaultdict(lambda: [0.0, 0])
     inside = [p for p in smooth if p[: len(root)] == root]
-    least = threshold * max(smooth[p] for p in inside)
-    kept = {p for p in inside if smooth[p] >= least}
+    for p in inside:
+        for i in range(len(root), len(p) + 1):
+            means[p[:i]][0] += smooth[p] * sums[p][0]
+            means[p[:i]][1] += sums[p][0]
+    fused = {
+        p: max(
+            max(0.0, 1 - sums[p][2] / sums[p][0]) * 0.5 ** (len(p) - i) * means[p[:i]][0] / means[p[:i]][1]
+            for i in range(len(root), len(p) + 1)
+        )
+        for p in inside
+    }
+    least = threshold * max(fused.values())
+    kept = {p for p in inside if fused[p] >= least and fused[p] > 0}
     return " ".join(text for path, text, _, _ in found if path in kept)
 
 
