@@ -216,10 +216,11 @@ def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 def _mixed(rows: DataFrame) -> DataFrame:
     """Rows of buckets that hold more than one component, with the bucket's most common one."""
-    sizes = rows.groupBy("bucket").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.mode("comp").alias("main")
+    sizes = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
+    several = sizes.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("size", "comp")).alias("main")
     )
-    return rows.join(sizes.where("low <> high").select("bucket", "main"), "bucket")
+    return rows.join(several.where("comps > 1").select("bucket", "main"), "bucket")
 
 
 def _shared(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
