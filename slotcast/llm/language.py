@@ -4,9 +4,9 @@ The first level tells language families apart by one-versus-rest linear support
 the second the languages of a family by one-versus-one machines and their votes. Features are
 hashed counts of one to three letters, word borders included.
 
-The machines are fitted on the driver from a bounded sample: about ``per_language`` labelled
-documents of each language, ``cap`` in all, picked by a hash of the text. Everything else reads all
-documents.
+The machines are fitted on the driver from a bounded sample: ``per_language`` labelled documents of
+each language, or an equal part of ``cap`` where the languages are many, picked by a hash of the
+text. Every labelled language is in it. Everything else reads all documents.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import by_batch, narrow, table
+from slotcast.llm.common import by_batch, narrow, stage, table
 
 SIZE = 4096
 UNDETERMINED = "und"
@@ -138,20 +138,33 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 
 def sample(docs: DataFrame, per_language: int, cap: int) -> DataFrame:
-    """Labelled documents for the fit: a hash of the text picks about so many of each language."""
-    known = docs.where("lang is not null and text is not null").where(~held_out())
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.orderBy(F.desc("n"), "lang").limit(200)  # languages, of which there are few
+    """Labelled documents for the fit, every labelled language among them (runs jobs).
+
+    Each language gives its texts of smallest hash: ``per_language``, or an equal part of ``cap``
+    where that is less, and one at least. Copies of a text count once.
+    """
+    spark = docs.sparkSession
+    known = docs.where("lang is not null").where(F.col("text").rlike("\\p{L}")).where(~held_out())
     place = F.pmod(F.xxhash64("text"), F.lit(2**40)) / F.lit(2.0**40)
-    shares = {r["lang"]: min(1.0, per_language / r["n"]) for r in top.collect()}
-    if not shares:
+    known = known.select(F.col("lang").cast("string").alias("lang"), "text", place.alias("place"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("place").alias("n"), F.min("place").alias("low")).collect()
+    if not sizes:
         return known.select("lang", "text").limit(0)
-    share = F.lit(0.0)
-    for lang, value in shares.items():
-        share = F.when(F.col("lang") == lang, F.lit(value)).otherwise(share)
-    picked = known.where(place < share).select("lang", "text", place.alias("place"))
-    once = picked.dropDuplicates(["lang", "place"])  # copies of a text teach nothing new
-    return once.orderBy("place", "lang").limit(cap).select("lang", "text")
+    quota = max(1, min(per_language, cap // len(sizes)))
+    # thinned to about twice the quota and some more; the quota itself is then cut by rank
+    edges = [(r["lang"], max(r["low"], (2.0 * quota + 32) / max(1, r["n"]))) for r in sizes]
+    thinned = stage(_under(spark, known, edges).dropDuplicates(["lang", "place"]), "languages")
+    places: dict[str, list[float]] = {}
+    for r in thinned.select("lang", "place").collect():  # a few numbers for each text of the sample
+        places.setdefault(r["lang"], []).append(r["place"])
+    edges = [(lang, sorted(found)[:quota][-1]) for lang, found in places.items()]
+    return _under(spark, thinned, edges).select("lang", "text")
+
+
+def _under(spark: SparkSession, texts: DataFrame, edges: list[tuple[str, float]]) -> DataFrame:
+    """The texts whose place is not above the edge of their language."""
+    bounds = spark.createDataFrame(edges, "lang string, edge double")
+    return texts.join(F.broadcast(bounds), "lang").where(F.col("place") <= F.col("edge")).drop("edge")
 
 
 def train(docs: DataFrame, per_language: int = 600, cap: int = 4000) -> dict | None:
@@ -181,7 +194,7 @@ def identify(docs: DataFrame, per_language: int = 600, cap: int = 4000, more: tu
     an empty result. Columns named in ``more`` are carried along, others are not read.
     """
     work = narrow(docs, "doc_id", "text", "lang")
-    model = train(work)
+    model = train(work, per_language, cap)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a weight row per family and pair
 
     def make():

@@ -2,7 +2,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from slotcast.llm.language import counts, determined, fit, identify, predict
+from slotcast.llm.language import counts, determined, fit, identify, predict, sample
 
 
 def test_held_out_accuracy(spark):
@@ -44,3 +44,13 @@ def test_two_levels():
     model = fit(np.stack([counts(t) for _, t in rows]), [k for k, _ in rows])
     assert model["tops"] == ["germanic", "romance"] and set(model["pairs"]) == {("de", "en"), ("es", "fr")}
     assert all(predict(model, counts(t))[0] == k for k, t in rows)
+
+
+def test_every_labelled_language_is_learned(spark):
+    sizes = {f"x{i}": 500 for i in range(8)} | {"rare": 25, "last": 4}
+    rows = [(f"{lang} text {'word ' * (i % 7)}{chr(97 + i % 26)}{i}", lang) for lang, n in sizes.items() for i in range(n)]
+    rows += [(f"copied {i % 2}", "copies") for i in range(2000)] + [(f"{i} !?", "none") for i in range(50)]
+    ids = [i for i in range(20000) if zlib.crc32(str(i).encode()) % 5]
+    df = spark.createDataFrame([(k, *r) for k, r in zip(ids, rows)], "doc_id long, text string, lang string")
+    got = {r["lang"]: r["count"] for r in sample(df, 60, 440).groupBy("lang").count().collect()}
+    assert got == {f"x{i}": 40 for i in range(8)} | {"rare": 25, "last": 4, "copies": 2}
