@@ -2,9 +2,9 @@
 
 Templates are short, well-known licence notices. An inverted index holds, for each template word,
 its positions in the templates. One pass counts in how many documents each of these words occurs;
-the second looks up the rarest template words of a document and intersects their postings by
-relative position: word places that agree on where a template would start vote for it with their
-inverse document frequency. A template counts where an alignment gathers enough of its weight and
+the second tries each template whose rarest key word stands in the document, however many these are,
+and intersects the postings of its words by relative position: word places that agree on where a
+template would start vote for it with their inverse document frequency. A template counts where an alignment gathers enough of its weight and
 its mandatory key phrase stands there word for word.
 
 Base phrases are counted at all their places, whatever the templates say.
@@ -94,7 +94,15 @@ def _starts(places: dict[bytes, list[int]], phrase: list[bytes]) -> list[int]:
     return [p for p in places[phrase[0]] if all(p + i + 1 in s for i, s in enumerate(sets))]
 
 
-def scan(index: Index, weight: dict[bytes, float], words: list[bytes], rare: int, enough: float):
+def rarest_words(index: Index, weight: dict[bytes, float]) -> dict[bytes, list[str]]:
+    """The templates by the rarest word of their mandatory key phrase; none counts without that word."""
+    out = defaultdict(list)
+    for label, (_, key) in index.templates.items():
+        out[max(key, key=lambda w: (weight[w], w))].append(label)
+    return out
+
+
+def scan(index: Index, weight: dict[bytes, float], rarest: dict[bytes, list[str]], words: list[bytes], enough: float):
     """Base places and labels, and the method's labels with the best share of a template's weight."""
     places = defaultdict(list)
     for i, word in enumerate(words):
@@ -106,11 +114,8 @@ def scan(index: Index, weight: dict[bytes, float], words: list[bytes], rare: int
         if at:
             found += at
             base_labels.add(label)
-    # every template whose words are among the document's rarest template words
-    top = sorted((w for w in places if w in index.postings), key=lambda w: (-weight[w], w))[:rare]
-    wanted = {label for w in top for label, _ in index.postings[w]}
     best = {}
-    for label in wanted:
+    for label in (label for word in rarest.keys() & places.keys() for label in rarest[word]):
         notice, key = index.templates[label]
         keys = _starts(places, key)
         if not keys:
@@ -150,26 +155,25 @@ def document_frequency(docs: DataFrame, index: Index) -> tuple[dict[bytes, int],
     return {w.encode(): n for w, n in rows.items()}, total
 
 
-def licenses(
-    docs: DataFrame, rare: int = 12, enough: float = 0.7, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def licenses(docs: DataFrame, enough: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """License phrases and labels of every whole text (runs a job for the word frequencies).
 
-    ``rare`` template words of highest inverse document frequency choose the templates that are
-    tried; base phrases do not depend on it. Null texts count as empty and have no labels. Repeated
+    Every template that can count is tried: where the word of highest inverse document frequency of
+    its key phrase occurs. Null texts count as empty and have no labels. Repeated
     rows each get a row, null ids are kept, other columns are not read; an empty table gives an
     empty result.
     """
     docs, index = narrow(docs, id_col, text_col), Index()
     frequency, total = document_frequency(docs, index)
     weight = {w: math.log((1 + total) / (1 + frequency.get(w, 0))) + 0.1 for w in index.words}
+    rarest = rarest_words(index, weight)
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
             for text in texts_of(batch):
                 words = words_of(text)
-                at, base, extra, score = scan(index, weight, words, rare, enough)
+                at, base, extra, score = scan(index, weight, rarest, words, enough)
                 rows.append(
                     (
                         len(words),

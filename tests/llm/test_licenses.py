@@ -1,8 +1,9 @@
+import math
 import re
 
 from pyspark.sql import functions as F
 
-from slotcast.llm.licenses import BASE, licenses
+from slotcast.llm.licenses import BASE, TEMPLATES, Index, document_frequency, licenses, scan, words_of
 
 
 def brute(text):
@@ -49,3 +50,28 @@ def test_whole_table_like_brute_force(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     for r in licenses(docs).collect():
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute(texts[r["doc_id"]])
+
+
+def brute_labels(text):
+    """Labels of the templates whose notice stands in the text word for word, and of the base phrases."""
+    words = f" {' '.join(re.findall('[0-9a-z]+', text.lower()))} "
+    return {k for k, (notice, _) in TEMPLATES.items() if f" {notice} " in words} | {v for k, v in BASE.items() if f" {k} " in words}
+
+
+def test_no_template_is_left_out_of_a_long_file(spark):
+    notices = [notice for notice, _ in TEMPLATES.values()]
+    long = [TEMPLATES[k][0] for k in ("isc", "bsd", "mit-text")]
+    texts = [". ".join(notices), ". ".join(notices[::-1]), ". ".join(notices[::2])]
+    texts += [". ".join([*long, TEMPLATES[k][0]]) for k in ("mit", "cc-by-4.0", "lgpl", "cc0-1.0")]
+    rows = [*enumerate(texts), *[(100 + i, f"some other words {i} the of a license") for i in range(20)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r for r in licenses(df).collect()}
+    index = Index()
+    frequency, total = document_frequency(df, index)
+    weight = {w: math.log((1 + total) / (1 + frequency.get(w, 0))) + 0.1 for w in index.words}
+    for i, text in rows:
+        words, found = words_of(text), set(filter(None, out[i]["labels"].split(",")))
+        every = {w: list(TEMPLATES) for w in set(words) & index.words if w == min(set(words) & index.words)}
+        _, base, extra, score = scan(index, weight, every, words, 0.7)  # tries all templates
+        assert found == base | extra and abs(out[i]["score"] - score) < 1e-9
+        assert brute_labels(text) <= found and (i < 100 or not found)
