@@ -7,10 +7,12 @@
    are left out. The benchmark's windows are hash-joined to all windows of all documents; they are
    broadcast while their count is under a bound, else the join shuffles.
 3. Matches of a document and an item that keep one distance between their places form an
-   alignment. The tokens of matched windows are compared again as text, and the slots of an
-   alignment must be consistent: one value of the item stands for one value in the document.
-4. A document is contaminated by an item when the windows of consistent alignments cover at least
-   ``share`` of the item's windows. Where slot values differ, the question was re-parameterised.
+   alignment. The tokens of matched windows are compared again as text, and the changed slots of an
+   alignment must be consistent: where one value of the item became several in the document, the
+   windows that hold one of these places are dropped. What is left of such an alignment counts when
+   it covers ``RUN`` tokens or half of the item's windows.
+4. A document is contaminated by an item when the windows left cover at least ``share`` of the
+   item's windows. Where slot values differ, the question was re-parameterised.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from slotcast.llm.common import narrow, stage, table
 
 WIDTH = 8
+#: Windows left of an alignment whose slots conflict count when they cover so many tokens.
+RUN = 13
 #: Rows of benchmark windows, or of document ids, that are broadcast at most (about 24 bytes each).
 LISTED = 1_000_000
 
@@ -69,6 +73,11 @@ def _with_forms(texts: DataFrame) -> DataFrame:
     return texts.withColumn("forms", F.zip_with("tokens", before, _form))
 
 
+def _plain(token: Column) -> Column:
+    """A token as text: lower-cased, without the mark of a name."""
+    return F.lower(F.translate(token, MARK, ""))
+
+
 def _with_hashes(texts: DataFrame) -> DataFrame:
     before = F.slice(F.concat(F.array(F.lit("")), F.col("tokens")), F.lit(1), F.size("tokens"))
     hashes = F.zip_with("tokens", before, lambda token, prev: F.xxhash64(_form(token, prev)))
@@ -165,39 +174,61 @@ def leaks(
     ids = found.select("doc_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= LISTED else ids
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    texts = _with_forms(tokenized(texts)).select("doc_id", "tokens", "forms")
+    texts = _with_forms(tokenized(texts)).select("doc_id", F.transform("tokens", _plain).alias("plain"), "forms")
     shown = items.select("item_id", "text").dropDuplicates(["item_id", "text"])
     shown = _with_forms(tokenized(shown)).select(
-        F.col("item_id").alias("item"), F.col("tokens").alias("item_tokens"), F.col("forms").alias("item_forms")
+        F.col("item_id").alias("item"),
+        F.transform("tokens", _plain).alias("item_plain"),
+        F.col("forms").alias("item_forms"),
     )
     aligned = (
         found.withColumnRenamed("doc_id", "id")
         .join(texts, F.col("id").eqNullSafe(texts["doc_id"]))
         .join(shown, F.col("item_id").eqNullSafe(F.col("item")))
     )
-    start = F.col("gap")
-    same = F.filter(
-        "at",
-        lambda p: F.slice("forms", start + p + 1, F.col("k")) == F.slice("item_forms", p + 1, F.col("k")),
+    start, k = F.col("gap"), F.col("k")
+
+    def equal(theirs: str, own: str):
+        return lambda p: F.slice(theirs, start + p + 1, k) == F.slice(own, p + 1, k)
+
+    def places(windows: str) -> Column:
+        return F.array_distinct(F.flatten(F.transform(windows, lambda p: F.sequence(p, p + k - 1))))
+
+    def slots(places: str) -> Column:
+        held = F.filter(places, lambda p: F.startswith(F.get("item_forms", p), F.lit("#")))
+        return F.transform(
+            held,
+            lambda p: F.struct(p.alias("p"), F.get("item_plain", p).alias("was"), F.get("plain", start + p).alias("now")),
+        )
+
+    def values(slots: Column) -> Column:
+        return F.array_distinct(F.transform(slots, lambda s: F.struct(s["was"].alias("was"), s["now"].alias("now"))))
+
+    known = F.filter("at", equal("forms", "item_forms"))
+    aligned = (
+        aligned.where(F.size("item_forms") > 0)
+        .withColumn("same", known)
+        .where(F.size("same") > 0)
+        .withColumn("places", places("same"))
+        .withColumn("changed", F.filter(slots("places"), lambda s: s["was"] != s["now"]))
+        .withColumn("values", values(F.col("changed")))
     )
-    places = F.array_distinct(F.flatten(F.transform("same", lambda p: F.sequence(p, p + F.col("k") - 1))))
-    slots = F.transform(
-        F.filter("places", lambda p: F.startswith(F.get("item_forms", p), F.lit("#"))),
-        lambda p: F.struct(
-            F.lower(F.get("item_tokens", p)).alias("was"), F.lower(F.get("tokens", start + p)).alias("now")
-        ),
+    # a value of the item that changed into several: its changed places speak against their windows
+    torn = F.filter(
+        "changed", lambda c: F.size(F.filter("values", lambda v: v["was"] == c["was"])) > 1
     )
     aligned = (
-        aligned.withColumn("same", same)
-        .withColumn("places", places)
-        .withColumn("slots", F.array_distinct(slots))
-        .withColumn("consistent", F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["was"]))))
-        .where("consistent and size(same) > 0")
+        aligned.withColumn("torn", F.transform(torn, lambda c: c["p"]))
+        .withColumn("kept", F.filter("same", lambda p: ~F.exists("torn", lambda c: c.between(p, p + k - 1))))
+        .withColumn("covered", places("kept"))
+        .where("size(kept) > 0")
+        .where((F.size("torn") == 0) | (F.size("covered") >= RUN) | (2 * F.size("kept") >= F.col("of")))
+        .withColumn("slots", values(slots("covered")))
     )
     return (
         aligned.groupBy(F.col("id").alias("doc_id"), "item_id", "of")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_set("same")))).cast("long").alias("n_windows"),
+            F.size(F.array_distinct(F.flatten(F.collect_set("kept")))).cast("long").alias("n_windows"),
             F.max(F.size("slots")).cast("long").alias("n_slots"),
             F.max(F.size(F.filter("slots", lambda s: s["was"] != s["now"]))).cast("long").alias("n_changed"),
         )

@@ -57,3 +57,28 @@ def test_planted_items_are_found(spark):
     texts = [r["text"] for r in items.collect()]
     want = {r["doc_id"] for r in docs.collect() if any(t in (r["text"] or "") for t in texts)}
     assert want == {r["doc_id"] for r in contaminated(docs, items).where("contaminated").collect()}
+
+
+def judged(spark, item, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return {r["doc_id"]: r for r in contaminated(docs, items).collect()}
+
+
+def test_conflicting_slots_only_drop_their_windows(spark):
+    tail = "to a friend who eats all of them while the others look on and wait for what may come of it in the end"
+    item = "Tom has 5 apples and gives 5 apples " + tail
+    out = judged(
+        spark,
+        item,
+        [
+            item.replace("has 5", "has 8").replace("gives 5", "gives 9"),
+            item.replace("gives 5", "gives 6"),
+            "Tom has 8 apples and gives 9 apples to no one as it is his own meal",
+            "Tom has 5 apples and gives 6 apples to his friend",
+        ],
+    )
+    assert [out[i]["contaminated"] for i in range(3)] == [True, True, False]
+    assert out[0]["n_windows"] < out[1]["n_windows"] and out[1]["share"] == 1.0 and out[1]["reparameterised"]
+    short = "Tom has 5 apples and gives 5 apples to his friend"
+    assert judged(spark, short, [short.replace("gives 5", "gives 6")])[0]["contaminated"]
