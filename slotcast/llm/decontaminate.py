@@ -3,16 +3,18 @@
 1. Texts become word and number tokens. Numbers (digits or number words), names (capitalised words
    inside a sentence) and units (a unit word or sign after a number) become typed placeholders.
 2. Windows of ``width`` tokens are hashed; an item shorter than that is one window of its own
-   length. Windows with fewer than ``literals`` words that are no placeholders say too little and
-   are left out. The benchmark's windows are hash-joined to all windows of all documents; they are
-   broadcast while their count is under a bound, else the join shuffles.
+   length. Windows with fewer than ``literals`` words that are no placeholders say too little as
+   templates and are hashed by their tokens as text. The benchmark's windows are hash-joined to all
+   windows of all documents; they are broadcast while their count is under a bound, else the join
+   shuffles.
 3. Matches of a document and an item that keep one distance between their places form an
    alignment. The tokens of matched windows are compared again as text, and the changed slots of an
    alignment must be consistent: where one value of the item became several in the document, the
    windows that hold one of these places are dropped. What is left of such an alignment counts when
    it covers ``RUN`` tokens or half of the item's windows.
 4. A document is contaminated by an item when the windows left cover at least ``share`` of the
-   item's windows. Where slot values differ, the question was re-parameterised.
+   item's windows, or when ``RUN`` consecutive tokens of the item stand in it as text. Where slot
+   values differ, the question was re-parameterised.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from slotcast.llm.common import narrow, stage, table
 
 WIDTH = 8
-#: Windows left of an alignment whose slots conflict count when they cover so many tokens.
+#: So many consecutive tokens of an item, equal as text, are a leak however long the item is.
 RUN = 13
 #: Rows of benchmark windows, or of document ids, that are broadcast at most (about 24 bytes each).
 LISTED = 1_000_000
@@ -78,10 +80,13 @@ def _plain(token: Column) -> Column:
     return F.lower(F.translate(token, MARK, ""))
 
 
-def _with_hashes(texts: DataFrame) -> DataFrame:
+def _with_hashes(texts: DataFrame, exact: bool) -> DataFrame:
     before = F.slice(F.concat(F.array(F.lit("")), F.col("tokens")), F.lit(1), F.size("tokens"))
     hashes = F.zip_with("tokens", before, lambda token, prev: F.xxhash64(_form(token, prev)))
-    return texts.withColumn("h1", hashes).drop("tokens", "text")
+    texts = texts.withColumn("h1", hashes)
+    if exact:
+        texts = texts.withColumn("v1", F.transform("tokens", lambda token: F.xxhash64(_plain(token))))
+    return texts.drop("tokens", "text")
 
 
 def _join_spans(left: str | Column, right: str | Column, gap: int) -> Column:
@@ -91,30 +96,45 @@ def _join_spans(left: str | Column, right: str | Column, gap: int) -> Column:
     return F.zip_with(left, shifted, lambda a, b: F.xxhash64(a, b))
 
 
-def windowed(texts: DataFrame, lengths: list[int]) -> DataFrame:
-    """(key columns, k, pos, hash) of all windows of the given lengths; drops the other columns."""
+def windowed(texts: DataFrame, lengths: list[int], exact: list[int] = ()) -> DataFrame:
+    """(key columns, exact, k, pos, hash) of all windows of the given lengths; drops the other columns.
+
+    Windows of ``lengths`` are hashed by their forms, those of ``exact`` by their tokens as text.
+    """
     keys = [c for c in texts.columns if c not in ("text", "tokens", "forms")]
-    work = _with_hashes(tokenized(texts))
-    size = 1
-    while 2 * size <= max(lengths):
-        work = work.withColumn(f"h{2 * size}", _join_spans(f"h{size}", f"h{size}", size))
-        size *= 2
-    for k in lengths:
-        span = 1 << (k.bit_length() - 1)
-        column, at = F.col(f"h{span}"), span
-        for bit in reversed(range(k.bit_length() - 1)):
-            if k >> bit & 1:
-                column = _join_spans(column, f"h{1 << bit}", at)
-                at += 1 << bit
-        work = work.withColumn(f"w{k}", F.slice(column, F.lit(1), F.greatest(F.size("h1") - (k - 1), F.lit(0))))
-    sets = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"w{k}").alias("hashes")) for k in lengths])
-    return work.select(*keys, F.explode(sets).alias("s")).select(
-        *keys, F.col("s.k").alias("k"), F.posexplode("s.hashes").alias("pos", "hash")
+    work, sets = _with_hashes(tokenized(texts), bool(exact)), []
+    for kind, wanted in (("h", lengths), ("v", exact)):
+        size = 1
+        while wanted and 2 * size <= max(wanted):
+            work = work.withColumn(f"{kind}{2 * size}", _join_spans(f"{kind}{size}", f"{kind}{size}", size))
+            size *= 2
+        for k in wanted:
+            span = 1 << (k.bit_length() - 1)
+            column, at = F.col(f"{kind}{span}"), span
+            for bit in reversed(range(k.bit_length() - 1)):
+                if k >> bit & 1:
+                    column = _join_spans(column, f"{kind}{1 << bit}", at)
+                    at += 1 << bit
+            hashes = F.slice(column, F.lit(1), F.greatest(F.size(f"{kind}1") - (k - 1), F.lit(0)))
+            work = work.withColumn(f"w{kind}{k}", hashes)
+            sets.append(F.struct(F.lit(kind == "v").alias("exact"), F.lit(k).alias("k"), F.col(f"w{kind}{k}").alias("hashes")))
+    return work.select(*keys, F.explode(F.array(*sets)).alias("s")).select(
+        *keys, F.col("s.exact").alias("exact"), F.col("s.k").alias("k"), F.posexplode("s.hashes").alias("pos", "hash")
     )
 
 
+def _telling(forms: str | Column, k: str | Column, literals: int) -> Column:
+    words = F.size(F.filter(forms, lambda f: ~F.startswith(f, F.lit("#"))))
+    return words >= F.least(F.lit(literals), k)
+
+
 def benchmark_windows(items: DataFrame, width: int, literals: int) -> DataFrame:
-    """(item_id, k, item_pos, hash, of): telling windows of each item and their number (runs a job)."""
+    """(item_id, exact, k, item_pos, hash, of, windows): the windows to look up (runs a job).
+
+    Telling windows go by their forms. The others go by their tokens as text, and so does the first
+    window of an item that is short or has such others, since what stands before it in a document
+    can change its form. ``of`` counts the telling windows of the item, ``windows`` all.
+    """
     formed = _with_forms(tokenized(items))
     formed = stage(formed.select("item_id", "text", "tokens", "forms").dropDuplicates(["item_id", "text"]), "items")
     lengths = sorted(
@@ -125,21 +145,26 @@ def benchmark_windows(items: DataFrame, width: int, literals: int) -> DataFrame:
         }
     )  # at most ``width`` values
     if not lengths:
-        names = "item_id long, k int, item_pos int, hash long, forms array<string>, tokens array<string>, of long"
+        names = "item_id long, exact boolean, k int, item_pos int, hash long, of long, windows long"
         return items.sparkSession.createDataFrame([], names)
-    hashed = windowed(formed.select("item_id", "text", F.size("forms").alias("n")), lengths)
+    hashed = windowed(formed.select("item_id", "text", F.size("forms").alias("n")), lengths, lengths)
     wide = hashed.where(F.col("k") == F.least("n", F.lit(width)))
-    full = wide.join(formed.select("item_id", "forms", "tokens"), "item_id").select(
+    full = wide.join(formed.select("item_id", "forms"), "item_id").select(
         "item_id",
+        "exact",
         "k",
         F.col("pos").alias("item_pos"),
         "hash",
-        F.slice("forms", F.col("pos") + 1, F.col("k")).alias("forms"),
-        F.slice("tokens", F.col("pos") + 1, F.col("k")).alias("tokens"),
+        (F.col("n") <= width).alias("short"),
+        _telling(F.slice("forms", F.col("pos") + 1, F.col("k")), F.col("k"), literals).alias("telling"),
+    )
+    item = Window.partitionBy("item_id")
+    counted = full.withColumn("of", F.count(F.when(~F.col("exact") & F.col("telling"), 1)).over(item)).withColumn(
+        "windows", F.count(F.when(~F.col("exact"), 1)).over(item)
     )
-    words = F.size(F.filter("forms", lambda f: ~F.startswith(f, F.lit("#"))))
-    telling = full.where(words >= F.least(F.lit(literals), F.col("k")))
-    return telling.withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("item_id")))
+    first = (F.col("item_pos") == 0) & (F.col("short") | (F.col("of") < F.col("windows")))
+    by_text = F.col("exact") & (~F.col("telling") | first)
+    return counted.where(by_text | (~F.col("exact") & F.col("telling"))).drop("short", "telling")
 
 
 def leaks(
@@ -147,28 +172,32 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, item_id, n_windows, share, n_slots, n_changed) of contaminated documents (runs jobs).
 
-    ``docs`` has doc_id and text, ``items`` item_id and text. Items without a telling window match
-    nothing. Rows that share an id, or have none, are judged together. A document with several
-    leaked items has several rows.
+    ``docs`` has doc_id and text, ``items`` item_id and text. ``share`` is the larger of two: found
+    telling windows among the telling ones, and found windows among all. Rows that share an id, or
+    have none, are judged together. A document with several leaked items has several rows.
     """
     bench = stage(benchmark_windows(items, width, literals), "windows")
-    lengths = sorted(r["k"] for r in bench.select("k").distinct().collect())  # at most ``width``
-    if not lengths:
+    kinds = bench.select("exact", "k").distinct().collect()  # at most two for each length
+    lengths = sorted(r["k"] for r in kinds if not r["exact"])
+    exact = sorted(r["k"] for r in kinds if r["exact"])
+    if not kinds:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, item_id long, n_windows long, share double, n_slots long, n_changed long"
         )
     small = bench.count() <= LISTED
-    keys = bench.select("k", "hash", "item_id", "item_pos", "of")
-    keys = F.broadcast(keys) if small else keys
-    hits = windowed(docs, lengths).join(keys, ["k", "hash"])
+    keys = F.broadcast(bench) if small else bench
+    hits = windowed(docs, lengths, exact).join(keys, ["exact", "k", "hash"])
     found = (
         hits.withColumn("gap", F.col("pos") - F.col("item_pos"))
-        .groupBy("doc_id", "item_id", "of", "k", "gap")
+        .groupBy("doc_id", "item_id", "of", "windows", "k", "gap")
         .agg(F.sort_array(F.collect_set("item_pos")).alias("at"))  # bounded by the item's windows
     )
     found = stage(found, "hits")
-    some = found.groupBy("doc_id", "item_id").agg(F.sum(F.size("at")).alias("n"), F.first("of").alias("of"))
-    some = some.where(F.col("n") >= share * F.col("of")).select("doc_id", "item_id")
+    some = found.groupBy("doc_id", "item_id").agg(
+        F.sum(F.size("at")).alias("n"), F.max(F.size("at")).alias("most"), F.first("of").alias("of")
+    )
+    # a run of RUN tokens holds RUN - width + 1 windows, of which the first can have another form
+    some = some.where((F.col("n") >= share * F.col("of")) | (F.col("most") >= RUN - width)).select("doc_id", "item_id")
     found = stage(found.join(some, _same(found, some, "doc_id", "item_id"), "left_semi"), "near")
 
     ids = found.select("doc_id").distinct()
@@ -204,11 +233,23 @@ def leaks(
     def values(slots: Column) -> Column:
         return F.array_distinct(F.transform(slots, lambda s: F.struct(s["was"].alias("was"), s["now"].alias("now"))))
 
-    known = F.filter("at", equal("forms", "item_forms"))
+    # the longest run of tokens that are equal as text
+    agree = F.transform(
+        F.sequence(F.lit(0), F.size("item_plain") - 1),
+        lambda p: F.coalesce(F.get("item_plain", p) == F.get("plain", start + p), F.lit(False)),
+    )
+
+    def longer(so_far: Column, same: Column) -> Column:
+        now = F.when(same, so_far["now"] + 1).otherwise(F.lit(0))
+        return F.struct(now.alias("now"), F.greatest(so_far["best"], now).alias("best"))
+
+    run = F.aggregate(agree, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best")), longer, lambda x: x["best"])
+    known = F.filter("at", lambda p: equal("forms", "item_forms")(p) | equal("plain", "item_plain")(p))
     aligned = (
         aligned.where(F.size("item_forms") > 0)
         .withColumn("same", known)
         .where(F.size("same") > 0)
+        .withColumn("run", run)
         .withColumn("places", places("same"))
         .withColumn("changed", F.filter(slots("places"), lambda s: s["was"] != s["now"]))
         .withColumn("values", values(F.col("changed")))
@@ -222,18 +263,24 @@ def leaks(
         .withColumn("kept", F.filter("same", lambda p: ~F.exists("torn", lambda c: c.between(p, p + k - 1))))
         .withColumn("covered", places("kept"))
         .where("size(kept) > 0")
-        .where((F.size("torn") == 0) | (F.size("covered") >= RUN) | (2 * F.size("kept") >= F.col("of")))
+        .where((F.size("torn") == 0) | (F.size("covered") >= RUN) | (2 * F.size("kept") >= F.col("windows")))
         .withColumn("slots", values(slots("covered")))
+        .withColumn("told", F.filter("kept", lambda p: _telling(F.slice("item_forms", p + 1, k), k, literals)))
     )
     return (
-        aligned.groupBy(F.col("id").alias("doc_id"), "item_id", "of")
+        aligned.groupBy(F.col("id").alias("doc_id"), "item_id", "of", "windows")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("kept")))).cast("long").alias("n_windows"),
+            F.size(F.array_distinct(F.flatten(F.collect_set("told")))).alias("n_told"),
+            F.max("run").alias("run"),
             F.max(F.size("slots")).cast("long").alias("n_slots"),
             F.max(F.size(F.filter("slots", lambda s: s["was"] != s["now"]))).cast("long").alias("n_changed"),
         )
-        .withColumn("share", F.col("n_windows") / F.col("of"))
-        .where(F.col("share") >= share)
+        .withColumn(
+            "share",
+            F.greatest(F.col("n_windows") / F.col("windows"), F.when(F.col("of") > 0, F.col("n_told") / F.col("of"))),
+        )
+        .where((F.col("share") >= share) | (F.col("run") >= RUN))
         .select("doc_id", "item_id", "n_windows", "share", "n_slots", "n_changed")
     )
 

@@ -82,3 +82,30 @@ def test_conflicting_slots_only_drop_their_windows(spark):
     assert out[0]["n_windows"] < out[1]["n_windows"] and out[1]["share"] == 1.0 and out[1]["reparameterised"]
     short = "Tom has 5 apples and gives 5 apples to his friend"
     assert judged(spark, short, [short.replace("gives 5", "gives 6")])[0]["contaminated"]
+
+
+def test_passages_of_long_items(spark):
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnprstvwxz"]
+    item = " ".join(words)
+    out = judged(
+        spark,
+        item,
+        [
+            "Some say " + " ".join(words[130:180]) + " and no more",
+            "Some say " + " ".join(words[130:142]) + " and no more",
+            "Some say " + " ".join(words[130:136] + ["so"] + words[136:142]) + " and no more",
+        ],
+    )
+    assert [out[i]["contaminated"] for i in range(3)] == [True, False, False]
+    assert 0 < out[0]["share"] < 0.25
+
+
+def test_items_of_few_words(spark):
+    out = judged(spark, "What is 12 + 7?", ["He asked: what is 12 + 7? No answer", "What is 13 + 7?", "see What is 12 + 7 here"])
+    assert [out[i]["contaminated"] for i in range(3)] == [True, False, True]
+    title = "The Quick Brown Fox Jumps Over The Lazy Dog By The Old River"
+    out = judged(spark, title, [f"We read {title} today", "We read The Slow Brown Hen Walks Under The Busy Cow Near The New River"])
+    assert [out[i]["contaminated"] for i in range(2)] == [True, False]
+    numbers = "1 2 3 4 5 6 7 8 9 10 11 12 13 14"
+    out = judged(spark, numbers, [f"it counts {numbers} so", "it counts 2 3 4 5 6 7 8 9 10 1 1 1 1 1 so", "9 8 7 6 5 4 3 2 1 0 9 8 7 6"])
+    assert [out[i]["contaminated"] for i in range(3)] == [True, True, False]
