@@ -27,7 +27,7 @@ from slotcast.llm.common import narrow, shuffle_partitions, table, texts_of
 MODULI = np.array([2147483647, 2147483629], np.uint64)
 BASES = np.array([911382323, 972663749], np.uint64)
 SPAN, BINS = 16, 64
-#: Texts under SHORT code points use spans of SHORT_SPAN.
+#: Texts under SHORT code points only have spans of SHORT_SPAN, others have both.
 SHORT, SHORT_SPAN = 64, 4
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -101,12 +101,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def fingerprint(hashes: PrefixHashes, span: int = SPAN, bins: int = BINS) -> str:
-    """Whole-text hash, length, and four hex digits per bin (blank: no span fell into it)."""
-    whole = int(hashes.spans(0, hashes.n))
+def _sketch(hashes: PrefixHashes, span: int, bins: int) -> str:
+    """Four hex digits per bin (blank: no span fell into it)."""
     sketch = [" " * 4] * bins
     if hashes.n:
-        span = span if hashes.n >= SHORT else SHORT_SPAN
         starts = np.arange(max(1, hashes.n - span + 1))
         values = _mix(hashes.spans(starts, np.minimum(starts + span, hashes.n)))
         values.sort()
@@ -115,14 +113,26 @@ def fingerprint(hashes: PrefixHashes, span: int = SPAN, bins: int = BINS) -> str
         filled = np.append(first[1:], len(values)) > first
         for i in np.flatnonzero(filled).tolist():
             sketch[i] = f"{int(values[first[i]]) & 0xFFFF:04x}"
-    return f"{whole:016x}-{hashes.n:x}-{'.'.join(sketch)}"
+    return ".".join(sketch)
+
+
+def fingerprint(hashes: PrefixHashes, span: int = SPAN, bins: int = BINS) -> str:
+    """Whole-text hash, length, and the sketches: of long spans where the text is long, and of short ones."""
+    whole = int(hashes.spans(0, hashes.n))
+    spans = [span, SHORT_SPAN] if hashes.n >= SHORT else [SHORT_SPAN]
+    return "-".join([f"{whole:016x}", f"{hashes.n:x}", *[_sketch(hashes, s, bins) for s in spans]])
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of the bins filled in either fingerprint that agree; 1 for equal, 0 beside an empty text."""
+    """Share of the bins filled in either fingerprint that agree; 1 for equal, 0 beside an empty text.
+
+    Two long texts are compared by their long spans, any others by the short ones, which both have.
+    """
     if a == b:
         return 1.0
-    pairs = zip(a.split("-")[2].split("."), b.split("-")[2].split("."))
+    a, b = a.split("-")[2:], b.split("-")[2:]
+    at = 0 if len(a) == len(b) else -1
+    pairs = zip(a[at].split("."), b[at].split("."))
     used = [(x, y) for x, y in pairs if x != "    " or y != "    "]
     return sum(x == y for x, y in used) / len(used) if used else 0.0
 

@@ -56,3 +56,12 @@ def test_likeness_follows_edits():
     mark = fp.fingerprint(fp.PrefixHashes(text))
     assert fp.likeness(mark, fp.fingerprint(fp.PrefixHashes(fp.edited(text, other)))) > 0.4
     assert fp.likeness(mark, fp.fingerprint(fp.PrefixHashes(other))) < 0.1
+
+
+def test_likeness_across_the_border_of_short_texts():
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(70))
+    mark = lambda t: fp.fingerprint(fp.PrefixHashes(t))
+    assert fp.likeness(mark(text[:63]), mark(text[:65])) > 0.8
+    assert fp.likeness(mark(text), mark(fp.edited(text, ""))) > 0.5
+    assert fp.likeness(mark(text), mark("")) == 0.0
