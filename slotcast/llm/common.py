@@ -32,15 +32,24 @@ def _own_folder() -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Where the setting is unset (tests on one machine), the session gets a folder of its own.
+    Only a local session without that setting (tests on one machine) gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = _own_folder()
-        spark.conf.set("spark.checkpoint.dir", folder)
     return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove staged tables that nothing will read again; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (runs a job); cuts the lineage."""
     path = scratch(df.sparkSession, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from slotcast.llm.collocations import op13_collocations
 from slotcast.llm.decontaminate import op4_templates
 from slotcast.llm.fingerprints import op3_fingerprints
 from slotcast.llm.html_text import op5_html_text
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
+    "op13_collocations": op13_collocations,
 }
 
 #: Near-duplicates by brute force: all pairs of documents that share a shingle.
@@ -64,6 +66,38 @@ SELECT
 FROM documents AS d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.doc_id = d.doc_id
 """
 
+#: Collocations by counting every n-gram as text.
+_COLLOCATIONS = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]') AS pieces
+  FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(unnest(pieces), '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM d),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k)
+  GROUP BY lang, k, phrase),
+m AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, a FROM g WHERE a >= 100),
+gone AS (
+  SELECT lang, a, array_to_string(ws[1:k - 1], ' ') AS phrase FROM f WHERE k > 2
+  UNION
+  SELECT lang, a, array_to_string(ws[2:k], ' ') FROM f WHERE k > 2),
+cuts AS (
+  SELECT c.*, l.a AS l, r.a AS r,
+    (CAST(1000 AS HUGEINT) * c.a * m.n) // (CAST(l.a AS HUGEINT) * r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f ANTI JOIN gone USING (lang, phrase, a) WHERE k > 1) AS c
+  JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:cut], ' ')
+  JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[cut + 1:c.k], ' ')
+  JOIN m ON m.lang = c.lang),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, m.n AS n, CAST(score AS BIGINT) AS score
+FROM least JOIN m USING (lang)
+QUALIFY rank <= 2000
+"""
+
 #: The other operators learn, tokenize or parse in ways that SQL cannot express, or compare all
 #: windows of all texts, which SQL is too slow for; tests hold them against brute force.
-ORACLE: dict[str, str] = {"op9_minhash": _NEAR_DUPLICATES}
+ORACLE: dict[str, str] = {"op9_minhash": _NEAR_DUPLICATES, "op13_collocations": _COLLOCATIONS}
