@@ -13,6 +13,7 @@ from slotcast.llm.packing import op10_packing
 from slotcast.llm.pii import op2_personal_data
 from slotcast.llm.suffixes import op1_suffixes
 from slotcast.llm.token_counts import op7_token_counts
+from slotcast.llm.token_files import op11_token_files
 
 QUERIES = {
     "op1_suffixes": op1_suffixes,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
+    "op11_token_files": op11_token_files,
     "op13_collocations": op13_collocations,
 }
 
