@@ -50,7 +50,7 @@ def stored(spark, texts, tmp_path_factory):
     rows = [(i * 7 % len(texts) * 10, t) for i, t in enumerate(texts)]
     path = str(tmp_path_factory.mktemp("tokens"))
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS shard", "2 AS first").repartition(6)
-    tf.write_tokens(docs, PATH, path, group_bytes=16 << 10, page_rows=50)
+    tf.write_tokens(docs, PATH, path, group_bytes=4 << 10, page_rows=50)
     return path, expected([(d, t or "") for d, t in rows])
 
 
