@@ -5,6 +5,7 @@ from __future__ import annotations
 from slotcast.llm.collocations import op13_collocations
 from slotcast.llm.decontaminate import op4_templates
 from slotcast.llm.fingerprints import op3_fingerprints
+from slotcast.llm.hard_negatives import op12_hard_negatives
 from slotcast.llm.html_text import op5_html_text
 from slotcast.llm.language import op8_language
 from slotcast.llm.licenses import op6_licenses
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
     "op11_token_files": op11_token_files,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_collocations": op13_collocations,
 }
 
@@ -100,6 +102,29 @@ FROM least JOIN m USING (lang)
 QUALIFY rank <= 2000
 """
 
+#: Hard negatives by all scores.
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 #: The other operators learn, tokenize or parse in ways that SQL cannot express, or compare all
 #: windows of all texts, which SQL is too slow for; tests hold them against brute force.
-ORACLE: dict[str, str] = {"op9_minhash": _NEAR_DUPLICATES, "op13_collocations": _COLLOCATIONS}
+ORACLE: dict[str, str] = {"op9_minhash": _NEAR_DUPLICATES, "op12_hard_negatives": _HARD_NEGATIVES, "op13_collocations": _COLLOCATIONS}
