@@ -17,13 +17,16 @@ collection is a shard's base and a position in it.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +37,22 @@ from slotcast.llm.known import Known
 ROWS = "doc_id long, shard int, first long, n_tokens long, tokens array<int>"
 SHARDS = "shard int, base long, n_tokens long, n_docs long, first_doc long, last_doc long"
 
-_SLICE = 1_000_000  # ids in one Arrow batch; a longer document is a batch by itself
+_SLICE = 6_000_000  # characters of texts that are encoded together
+
+
+# Letters, digits and signs whose classes this module knows by itself; others go to the tokenizer.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ\\n\\t\\r]*").fullmatch
+_PRETOKENS = re.compile(
+    f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_LETTERS}0-9\\s]+|\\s+(?!\\S)|\\s+"
+).findall
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that a byte-level vocabulary uses for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
 class Encoder:
@@ -42,37 +60,94 @@ class Encoder:
     usual pattern.
 
     A blank between two other characters always starts a new pre-token, so the ids of a text are those of
-    its words, each with the blank before it. Words met before come from a bounded table.
+    its words, each with the blank before it. Words and pre-tokens met before come from bounded tables; a
+    word of plain characters is cut here and merged by the tokenizer's own model, any other word
+    goes to the tokenizer whole.
     """
 
-    def __init__(self, model: str, memory: int = 64 << 20):
+    def __init__(self, model: str, memory: int = 96 << 20):
         import regex
         from tokenizers import Tokenizer
 
         if array("I").itemsize != 4 or sys.byteorder != "little":
             raise RuntimeError("ids are written as this machine's 32-bit little-endian integers")
         self.tokenizer = Tokenizer.from_str(model)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        if any(" " in s for s in self.special):
-            raise ValueError("a special token holds a blank, so words are not independent")
+        self.bpe = self.tokenizer.model
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if not all(t.startswith("<|") and " " not in t for t in special):
+            raise ValueError("special tokens are told by their first two signs, and hold no blank")
         self.blanks = regex.compile(r"\s\s").search
         self.words_of = regex.compile(r"(?<=\S) (?=\S)").split
-        self.known = Known(self._encode, memory)
+        self.letters = _byte_letters()
+        self.pretokens = Known(self._pretoken, memory // 4)
+        self.after_blank = Known(self._after_blank, memory - memory // 4)
+
+    def _pretoken(self, text: str) -> bytes:
+        spelled = text.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.bpe.tokenize(spelled)]).tobytes()
+
+    def _after_blank(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():  # a pre-token by itself
+            return array("I", [t.id for t in self.bpe.tokenize(self.letters[32] + word)]).tobytes()
+        return self._word(" " + word)
 
-    def _encode(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def _word(self, word: str) -> bytes:
+        if _SIMPLE(word, 1 if word[:1] == " " else 0) and "<|" not in word:
+            return b"".join(map(self.pretokens.__getitem__, _PRETOKENS(word)))
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def of(self, text: str) -> bytes:
         if not text:
             return b""
         if self.blanks(text):  # runs of white space stay in one word
             first, *words = self.words_of(text)
-        else:
+        else:  # a blank at the start is taken by the word after it
             first, *words = text.split(" ")
-            if not first:  # the text starts with a blank, which its first word takes
-                return b"".join(map(self.known.__getitem__, [" " + w for w in words]))
-        known = self.known
-        return known[first] + b"".join([known[" " + w] for w in words])
+        return (self._word(first) if first else b"") + b"".join(map(self.after_blank.__getitem__, words))
+
+
+    def of_all(self, texts: list[str], end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by ``end``, and the number of each.
+
+        Arrow splits the texts and numbers their distinct words; only these are looked up.
+        """
+        whole = [bool(self.blanks(t)) for t in texts]
+        split = pc.split_pattern(pa.array([("" if w else t) for t, w in zip(texts, whole)], pa.string()), " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        numbered = split.values.dictionary_encode()
+        words = list(map(self.after_blank.__getitem__, numbered.dictionary.to_pylist()))
+        codes = numbered.indices.to_numpy().astype(np.int64)
+        # Words at the start have no blank before them; a text with runs of white space is one word here.
+        codes[bounds[:-1]] = len(words) + np.arange(len(texts))
+        words += [self.of(t) if w else self._word(t.partition(" ")[0]) if t else b"" for t, w in zip(texts, whole)]
+        codes = np.insert(codes, bounds[1:], len(words))
+        words.append(end)
+
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) // 4
+        flat = np.frombuffer(b"".join(words), np.int32)
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[codes]
+        before = np.cumsum(n) - n
+        ids = flat[np.repeat(starts[codes] - before, n) + np.arange(n.sum())]
+        return ids, np.add.reduceat(n, bounds[:-1] + np.arange(len(texts)))
+
+
+@lru_cache(maxsize=1)
+def _encoder(model: str) -> Encoder:
+    """Kept by a Python worker between its tasks, within the encoder's bound on bytes."""
+    return Encoder(model)
+
+
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Runs of texts that are encoded together; a very long text is a run by itself."""
+    first = held = 0
+    for i, text in enumerate(texts):
+        if i > first and held + len(text) > _SLICE:
+            yield first, i
+            first, held = i, 0
+        held += len(text)
+    if texts:
+        yield first, len(texts)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,36 +162,21 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str =
     end = np.array([end_id], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, before = Encoder(shared.value), TaskContext.get().partitionId(), 0
-        ids, rows = [], []
-
-        def made() -> pa.RecordBatch:
-            lengths = [r[2] for r in rows]
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            tokens = pa.array(np.frombuffer(b"".join(ids), np.int32))
-            columns = [
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([shard] * len(rows), pa.int32()),
-                pa.array([r[1] for r in rows], pa.int64()),
-                pa.array(lengths, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(offsets), tokens),
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "shard", "first", "n_tokens", "tokens"])
-
-        held = 0
+        encoder, shard, before = _encoder(shared.value), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                some = encoder.of(text) + end
-                n = len(some) // 4
-                ids.append(some)
-                rows.append((doc, before, n))
-                before += n
-                held += n
-                if held >= _SLICE:
-                    yield made()
-                    ids, rows, held = [], [], 0
-        if rows:
-            yield made()
+            docs, texts = batch.column("doc_id"), texts_of(batch)
+            for a, b in _slices(texts):
+                ids, n = encoder.of_all(texts[a:b], end)
+                ends = np.cumsum(n)
+                columns = [
+                    docs.slice(a, b - a),
+                    pa.array(np.full(b - a, shard, np.int32)),
+                    pa.array(before + ends - n),
+                    pa.array(n),
+                    pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "shard", "first", "n_tokens", "tokens"])
+                before += int(ends[-1])
 
     order = ["doc_id", F.xxhash64("text")]
     parts = shuffle_partitions(docs.sparkSession)

@@ -33,7 +33,11 @@ def test_words_give_the_ids_of_whole_texts(texts):
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(encoder.of(text or ""), "<u4").tolist() == ids
         assert small.of(text or "") == encoder.of(text or "")
-    assert len(small.known) + len(small.known.old) < 40
+    ids, n = encoder.of_all([t or "" for t in texts], np.array([0], "<u4").tobytes())
+    every = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert n.tolist() == [len(x) + 1 for x in every] and ids.tolist() == [i for x in every for i in [*x, 0]]
+    for known in (small.pretokens, small.after_blank):
+        assert len(known) + len(known.old) < 40
 
 
 def expected(rows):
