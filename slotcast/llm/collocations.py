@@ -31,9 +31,9 @@ BITS = 27
 #: Counters of one summary at most, by which the number of hash partitions is chosen.
 COUNTERS = 4_000_000
 
-_TEXT_BYTES = 4_000_000  # texts that a task splits at once; a longer text is split by itself
+_TEXT_BYTES = 3_000_000  # texts that a task splits at once; a longer text is split by itself
 _ROW_WORDS = 65_536  # words in a stored sequence; documents are not cut
-_GRAMS = 2_000_000  # hashes that a task gathers before it counts them
+_GRAMS = 1_500_000  # hashes that a task gathers before it counts them
 _SIGNS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _SIGNS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(_SIGNS) + b" "
@@ -297,46 +297,81 @@ def surviving_grams(
 # --- exact counts ---
 
 
-def _exact(rows: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows of words with their counts. Hashes only group; equality is that of the rows."""
+def _row_hashes(rows: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """The n-gram hash of each row of words, as :func:`gram_hashes` gives it."""
+    hashes = _mix(rows[:, 0] + seed)
+    for n in range(1, rows.shape[1]):
+        hashes = _mix(hashes * np.uint64(0xD6E8FEB86659FD93) + rows[:, n])
+    return hashes
+
+
+def _exact(rows: np.ndarray, counts: np.ndarray, seed: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows of words with their summed counts and their hashes, in the order of the hashes.
+
+    Hashes only group; equality is that of the rows.
+    """
+    hashes = _row_hashes(rows, seed)
     order = np.argsort(hashes, kind="stable")
-    rows, hashes = rows[order], hashes[order]
+    rows, counts, hashes = rows[order], counts[order], hashes[order]
     first = np.r_[True, hashes[1:] != hashes[:-1]]
     same = np.r_[True, (rows[1:] == rows[:-1]).all(1)]
-    if not (first | same).all():  # two n-grams share a hash
-        return np.unique(rows, axis=0, return_counts=True)
+    if not (first | same).all():  # two n-grams share a hash, so their rows are put in order too
+        order = np.lexsort([*rows.T, hashes])
+        rows, counts, hashes = rows[order], counts[order], hashes[order]
+        first = np.r_[True, (rows[1:] != rows[:-1]).any(1)]
     at = np.flatnonzero(first)
-    return rows[at], np.diff(np.r_[at, len(rows)])
+    return rows[at], np.add.reduceat(counts, at), hashes[at]
+
+
+class _Counts:
+    """Exact counts of the n-grams of one language and length."""
+
+    def __init__(self, lang: str, n: int):
+        self.seed, self.n, self.held, self.distinct = lang_seed(lang), n, 0, 0
+        self.some: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, rows: np.ndarray, counts: np.ndarray) -> None:
+        self.some.append((rows, counts))
+        self.held += len(rows)
+        if self.held > max(2 * self.distinct, _GRAMS // 4):
+            rows, counts, _ = self.summed()
+            self.some, self.held, self.distinct = [(rows, counts)], len(rows), len(rows)
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows, counts = (np.concatenate(x) for x in zip(*self.some))
+        return _exact(rows, counts, self.seed)
 
 
 def exact_counts(sequences: DataFrame, bitmaps: list[np.ndarray], threshold: int) -> DataFrame:
     """Language, words and exact count of all n-grams of two words and more that reach the threshold.
 
     ``bitmaps`` are those of the frequent words, of the surviving pairs and of the longer survivors.
-    ``gram`` holds the 64-bit hashes of the words, one after another.
+    ``gram`` holds the 64-bit hashes of the words, one after another. Tasks send their counts to the
+    hash partitions in blocks, and a partition holds no more than its share of the survivors.
     """
-    shared = sequences.sparkSession.sparkContext.broadcast(bitmaps)  # of fixed size
+    spark = sequences.sparkSession
+    shared = spark.sparkContext.broadcast(bitmaps)  # of fixed size
+    parts = shuffle_partitions(spark)
+
+    def blocks(held: dict[tuple[str, int], _Counts]) -> Iterator[pa.RecordBatch]:
+        for (lang, n), counted in held.items():
+            rows, counts, hashes = counted.summed()
+            part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            ends = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+            used = np.flatnonzero(ends[1:] > ends[:-1])
+            pick = [slice(int(ends[p]), int(ends[p + 1])) for p in used]
+            columns = [
+                pa.array(used, pa.int32()),
+                pa.array([lang] * len(used)),
+                pa.array([n] * len(used), pa.int32()),
+                pa.array([rows[x].astype("<u8").tobytes() for x in pick], pa.binary()),
+                pa.array([counts[x].astype("<i8").tobytes() for x in pick], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "lang", "size", "grams", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, pairs, longer = shared.value
-        gathered: dict[tuple[str, int], list] = {}
-        held = 0
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            for (lang, n), some in gathered.items():
-                rows, counts = _exact(np.concatenate([r for r, _ in some]), np.concatenate([h for _, h in some]))
-                keys = np.ascontiguousarray(rows.astype(">u8")).view(f"V{8 * n}").ravel().tolist()
-                for i in range(0, len(keys), 50_000):
-                    some_keys = keys[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(some_keys)),
-                            pa.array(some_keys, pa.binary()),
-                            pa.array(counts[i : i + 50_000], pa.int64()),
-                        ],
-                        names=["lang", "gram", "n"],
-                    )
-
+        held: dict[tuple[str, int], _Counts] = {}
         for lang, words in _sequences(batches):
             grams = gram_hashes(words, lang_seed(lang), LONGEST)
             starts = _starts(words, grams, frequent, pairs)
@@ -346,15 +381,29 @@ def exact_counts(sequences: DataFrame, bitmaps: list[np.ndarray], threshold: int
                     at = at[_in(longer, grams[n - 1][at])]
                 if len(at):
                     rows = words[at[:, None] + np.arange(n)]
-                    gathered.setdefault((lang, n), []).append((rows, grams[n - 1][at]))
-                    held += n * len(at)
-            if held >= _GRAMS:
-                yield from emit()
-                gathered, held = {}, 0
-        yield from emit()
-
-    partial = sequences.mapInArrow(count, "lang string, gram binary, n long")
-    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("a")).filter(F.col("a") >= threshold)
+                    held.setdefault((lang, n), _Counts(lang, n)).add(rows, np.ones(len(at), np.int64))
+            if sum(c.n * c.held for c in held.values()) >= 2 * _GRAMS:
+                yield from blocks(held)
+                held = {}
+        yield from blocks(held)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], _Counts] = {}
+        for batch in batches:
+            keys = zip(batch.column("lang").to_pylist(), batch.column("size").to_pylist())
+            for (lang, n), grams, counts in zip(keys, batch.column("grams"), batch.column("counts")):
+                rows = np.frombuffer(grams.as_buffer(), "<u8").reshape(-1, n)
+                counts = np.frombuffer(counts.as_buffer(), "<i8")
+                held.setdefault((lang, n), _Counts(lang, n)).add(rows, counts)
+        for (lang, n), counted in held.items():
+            rows, counts, _ = counted.summed()
+            often = counts >= threshold
+            keys = np.ascontiguousarray(rows[often].astype(">u8")).view(f"V{8 * n}").ravel().tolist()
+            columns = [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.binary()), pa.array(counts[often])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "a"])
+
+    partial = sequences.mapInArrow(count, "part int, lang string, size int, grams binary, counts binary")
+    return partial.repartitionById(parts, "part").mapInArrow(total, "lang string, gram binary, a long")
 
 
 # --- scores ---
@@ -430,7 +479,7 @@ def _split_texts(docs: DataFrame, text_col: str, lang_col: str, threshold: int,
     for seed in range(tries):
         path, counted = scratch(spark, "words"), scratch(spark, "word-counts")
         split = texts.mapInArrow(lambda batches, seed=seed: _split_batches(batches, seed), SPLIT)
-        split.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+        split.write.option("compression", "zstd").parquet(path)
         every = spark.read.schema(SPLIT).parquet(path).filter("kind = 'word'")
         every.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")).write.parquet(counted)
         words = spark.read.schema("lang string, word binary, hash binary, n long").parquet(counted)
