@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from slotcast.operators import staging
 from slotcast.plans.marts import Dims, Logs
+from slotcast.schemas import LOGS
 
 SALE_TYPES = ("purchase", "click", "view")
 WASTE_TYPE = "signup"
@@ -13,6 +15,15 @@ STOCKOUT_TYPE = "error"
 CATEGORIES = ("sandwich", "side", "roller_grill", "chicken", "appetizer")
 TIMES_OF_DAY = ("breakfast", "lunch", "all_day", "chicken")
 LAUNCH = "2024-01-19"
+_TYPES = {"store_id": IntegerType(), "item_id": IntegerType(), "price": DoubleType()}
+
+
+
+#: The logs' schemas with the ids and prices of the test tables.
+SCHEMAS = {
+    kind: StructType([StructField(f.name, _TYPES.get(f.name, f.dataType)) for f in schema])
+    for kind, schema in LOGS.items()
+}
 
 
 def _read(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -283,6 +283,7 @@ _BODIES = {
         WINDOW w AS (PARTITION BY store_id, item_id ORDER BY running)""",
     "sim_now": "SELECT * FROM clock",
     "store_clocks": "SELECT * FROM clocks",
+    "committed_clocks": "SELECT * FROM clocks",
     "missed_units_today": "SELECT * FROM missed",
     "waste_summary_today": """SELECT store_id, item_id, sale_quantity,
         round(sale_revenue, 6) AS sale_revenue, waste_quantity, category, cost,
@@ -302,6 +303,8 @@ _BODIES = {
         GROUP BY s.store_id, g.category_group""",
     "lookahead_demand": """SELECT store_id, item_id, round(predicted_units, 6) AS predicted_units
         FROM ahead""",
+    "published_lookahead": """SELECT store_id, item_id, round(predicted_units, 6) AS predicted_units
+        FROM ahead""",
     "production_queue": "SELECT * FROM queue",
     "open_items": "SELECT queue.* FROM queue ANTI JOIN done USING (store_id, item_id)",
     "completed_items": "SELECT queue.* FROM queue SEMI JOIN done USING (store_id, item_id)",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -71,8 +71,52 @@ def _today(spark: SparkSession, sf: str) -> Column:
     return live.sim_now(m.raw_sales(spark, sf)).select(F.to_date("now")).scalar()
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
+    """The path of something that is derived from a table once in a session and read many times."""
+    key = spark.sparkContext.applicationId, sf, name
+    if key not in _STORED:
+        path = new_folder(spark, name)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def _live_log(spark: SparkSession, sf: str) -> str:
+    """The three logs after a flush for each third of the month, one of them repeated, and a compaction."""
+
+    def write(path: str) -> None:
+        third = F.least(F.floor((F.dayofmonth("created_at") - 1) / 10), F.lit(2))
+        for epoch in (0, 1, 1, 2):
+            flush = m.log(spark, sf).filter(third == epoch)
+            event_source.append_events(flush, epoch, path, m.SCHEMAS)
+        event_source.compact_events(spark, path, date(2024, 1, 30), m.SCHEMAS)
+
+    return _stored(spark, sf, "live-log", write)
+
+
 def _clocks(spark: SparkSession, sf: str) -> DataFrame:
-    return live.store_clocks(m.raw_sales(spark, sf))
+    """The store clocks that the log's commits keep."""
+    return event_source.read_clocks(spark, _live_log(spark, sf), m.SCHEMAS)
+
+
+def _since_midnight(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """What a read-out of today needs of a log: of sales the days of the clocks, whose newest they are, of
+    others all from the first of these days on."""
+    days = [r[0] for r in _clocks(spark, sf).select(F.to_date("now")).distinct().collect()]
+    path = _live_log(spark, sf)
+    if kind == "sales":
+        return event_source.read_events(spark, path, kind, dates=days, schemas=m.SCHEMAS)
+    since = datetime.combine(min(days, default=date.max), time())
+    return event_source.read_events(spark, path, kind, since=since, schemas=m.SCHEMAS)
+
+
+def _ahead(spark: SparkSession, sf: str) -> DataFrame:
+    """Look-ahead demand from the published running sums."""
+    path = _stored(spark, sf, "lookahead", lambda p: live.publish_lookahead(_forecast(spark, sf), p))
+    return live.lookahead_of_index(spark.read.parquet(path), m.menu(spark), _clocks(spark, sf))
 
 
 def _launch_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -210,18 +254,22 @@ def sim_now(spark, sf):
 
 @query
 def store_clocks(spark, sf):
+    return live.store_clocks(m.raw_sales(spark, sf))
+
+
+@query
+def committed_clocks(spark, sf):
     return _clocks(spark, sf)
 
 
 @query
 def missed_units_today(spark, sf):
-    return live.missed_units_today(m.raw_stockouts(spark, sf), _clocks(spark, sf))
+    return live.missed_units_today(_since_midnight(spark, sf, "stockouts"), _clocks(spark, sf))
 
 
 def _waste_today(spark, sf):
-    return live.waste_summary_today(
-        m.raw_sales(spark, sf), m.raw_waste(spark, sf), m.menu(spark), _clocks(spark, sf)
-    )
+    sales, waste = (_since_midnight(spark, sf, kind) for kind in ("sales", "waste"))
+    return live.waste_summary_today(sales, waste, m.menu(spark), _clocks(spark, sf))
 
 
 @query
@@ -243,10 +291,14 @@ def lookahead_demand(spark, sf):
     return live.lookahead_demand(_forecast(spark, sf), m.menu(spark), _clocks(spark, sf))
 
 
+@query
+def published_lookahead(spark, sf):
+    return _ahead(spark, sf)
+
+
 def _queue(spark, sf):
-    return live.production_queue(
-        _forecast(spark, sf), m.raw_stockouts(spark, sf), m.menu(spark), _clocks(spark, sf)
-    )
+    stockouts = _since_midnight(spark, sf, "stockouts")
+    return live.queue_of(_ahead(spark, sf), stockouts, m.menu(spark), _clocks(spark, sf))
 
 
 @query
@@ -256,9 +308,9 @@ def production_queue(spark, sf):
 
 def _done(spark, sf):
     """Items whose waste was logged on the last day count as acknowledged."""
-    return live.today_totals(
-        m.raw_waste(spark, sf), live.sim_now(m.raw_sales(spark, sf)), {"n": F.lit(1)}
-    ).select("store_id", "item_id")
+    now = _clocks(spark, sf).agg(F.max("now").alias("now"))
+    done = live.today_totals(_since_midnight(spark, sf, "waste"), now, {"n": F.lit(1)})
+    return done.select("store_id", "item_id")
 
 
 @query
@@ -275,11 +327,11 @@ def completed_items(spark, sf):
 def replenishment(spark, sf):
     """Waste of the day so far stands for the shelf, stockouts for what is being cooked."""
     now = _clocks(spark, sf)
-    shelf = live.today_totals(m.raw_waste(spark, sf), now, {"on_shelf": F.col("quantity")})
-    kitchen = live.today_totals(m.raw_stockouts(spark, sf), now, {"in_progress": F.col("quantity")})
+    waste, stockouts = (_since_midnight(spark, sf, kind) for kind in ("waste", "stockouts"))
+    shelf = live.today_totals(waste, now, {"on_shelf": F.col("quantity")})
+    kitchen = live.today_totals(stockouts, now, {"in_progress": F.col("quantity_requested")})
     on_hand = shelf.join(kitchen, ["store_id", "item_id"], "full_outer")
-    ahead = live.lookahead_demand(_forecast(spark, sf), m.menu(spark), now)
-    return plan.replenishment(ahead, on_hand, now)
+    return plan.replenishment(_ahead(spark, sf), on_hand, now)
 
 
 # --- plan ---
@@ -455,15 +507,8 @@ def encode_labels(spark, sf):
 
 def _stored_model(spark, sf):
     """The model of a table's features, fitted once in a session, stored, and read back each time."""
-    if sf not in _MODELS or _MODELS[sf][0] != spark.sparkContext.applicationId:
-        model, _ = forecast.train(_features(spark, sf))
-        path = new_folder(spark, "model")
-        forecast.save_model(model, path)
-        _MODELS[sf] = spark.sparkContext.applicationId, path
-    return forecast.load_model(_MODELS[sf][1])
-
-
-_MODELS: dict[str, tuple[str, str]] = {}
+    path = _stored(spark, sf, "model", lambda p: forecast.save_model(forecast.train(_features(spark, sf))[0], p))
+    return forecast.load_model(path)
 
 
 @query
@@ -807,7 +852,7 @@ def _stream(spark, sf, types):
 def _drain_updates(spark, sdf, name, keys):
     """Run a stream over what there is, and read the newest row of each group."""
     folder = new_folder(spark, name)
-    sink = streams.upsert_sink(sdf, f"{folder}/out", f"{folder}/checkpoint")
+    sink = streams.upsert_sink(sdf, f"{folder}/out", f"{folder}/checkpoint", keys)
     sink.trigger(availableNow=True).start().awaitTermination()
     return streams.read_upserts(spark, f"{folder}/out", sdf.schema, keys)
 

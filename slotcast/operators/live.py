@@ -10,12 +10,13 @@ from __future__ import annotations
 from datetime import datetime
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from slotcast.constants import KPI_GROUPS, QUEUES, SLOTS_PER_HOUR, SLOTS_PER_WEEK, SUM_DIGITS
 from slotcast.functions.slots import midnight, ntz, slot_of, slots_ahead
 
 Now = datetime | str | DataFrame
+ITEM = ["store_id", "item_id"]
 
 
 def sim_now(sales: DataFrame, store_id: str | int | None = None) -> DataFrame:
@@ -147,8 +148,77 @@ def lookahead_demand(pred: DataFrame, menu: DataFrame, now: Now) -> DataFrame:
     )
 
 
+def lookahead_index(pred: DataFrame) -> DataFrame:
+    """Running sums of the predictions around the ring, made when a plan is published.
+
+    A row for each store, item and slot 0..671: units and predictions up to and with the slot, and those of
+    the whole week. Stored in the order of slots, a window needs two of an item's 672 rows.
+    """
+    units = pred.select(*ITEM, "slot_index", "predicted_units", F.lit(1).alias("n"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(SLOTS_PER_WEEK - 1))).alias("slot_index")
+    empty = units.select(*ITEM).distinct().select(*ITEM, every, F.lit(0.0).alias("predicted_units"), F.lit(0).alias("n"))
+    slots = units.unionByName(empty).groupBy(*ITEM, "slot_index").agg(
+        F.sum("predicted_units").alias("units"), F.sum("n").alias("n")
+    )
+    week = Window.partitionBy(*ITEM)
+    so_far = week.orderBy("slot_index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return slots.select(
+        *ITEM,
+        "slot_index",
+        F.sum("units").over(so_far).alias("units_through"),
+        F.sum("n").over(so_far).alias("n_through"),
+        F.sum("units").over(week).alias("week_units"),
+        F.sum("n").over(week).alias("week_n"),
+    )
+
+
+def publish_lookahead(pred: DataFrame, path: str) -> None:
+    """Store :func:`lookahead_index` by ranges of slots (runs jobs), so that a few slots are few row groups."""
+    order = ["slot_index", *ITEM]
+    index = lookahead_index(pred).repartitionByRange(*order).sortWithinPartitions(*order)
+    index.write.mode("overwrite").option("parquet.block.size", 8 << 20).parquet(path)
+
+
+def lookahead_of_index(index: DataFrame, menu: DataFrame, now: DataFrame) -> DataFrame:
+    """:func:`lookahead_demand` from two rows of the stored index for each item (runs two small jobs).
+
+    ``now`` has store clocks. The slots that any store and hold time need are at most 672 numbers; they become
+    a filter of the scan. The sum over a window is the difference of its ends, and a week's units for each
+    time it comes round.
+    """
+    window = F.floor(F.col("hold_time") * SLOTS_PER_HOUR).cast("int")
+    before = F.pmod(slot_of("now") - 1, F.lit(SLOTS_PER_WEEK)).alias("before")
+    clocks, items = now.select("store_id", before), menu.select("item_id", window.alias("window"))
+    rest = F.col("window") % SLOTS_PER_WEEK
+    last = (F.col("before") + rest) % SLOTS_PER_WEEK
+    starts = [r[0] for r in clocks.dropna().select("before").distinct().collect()]  # at most 672 each
+    spans = [r[0] for r in items.dropna().select(rest).distinct().collect()]
+    needed = sorted({*starts, *((a + n) % SLOTS_PER_WEEK for a in starts for n in spans)})
+    weeks = F.floor(F.col("window") / SLOTS_PER_WEEK) + (F.col("before") + rest >= SLOTS_PER_WEEK).cast("int")
+
+    def inside(name: str, week: str) -> Column:
+        to, frm = (F.max(F.when(F.col("slot_index") == end, F.col(name))) for end in (last, F.col("before")))
+        return to - frm + F.max(weeks * F.col(week))
+
+    return (
+        index.filter(F.col("slot_index").isin(needed))
+        .join(clocks, "store_id")
+        .join(items, "item_id")
+        .filter((F.col("slot_index") == F.col("before")) | (F.col("slot_index") == last))
+        .groupBy(*ITEM)
+        .agg(inside("units_through", "week_units").alias("predicted_units"), inside("n_through", "week_n").alias("n"))
+        .filter("n > 0")
+        .drop("n")
+    )
+
+
 def production_queue(pred: DataFrame, stockouts: DataFrame, menu: DataFrame, now: Now) -> DataFrame:
     """Look-ahead demand in whole units, units missed today, and the kitchen queue of the item."""
+    return queue_of(lookahead_demand(pred, menu, now), stockouts, menu, now)
+
+
+def queue_of(ahead: DataFrame, stockouts: DataFrame, menu: DataFrame, now: Now) -> DataFrame:
+    """:func:`production_queue` of a look-ahead that is known."""
     queue_of = F.create_map(
         *chain.from_iterable(
             (F.lit(category), F.lit(queue))
@@ -157,8 +227,7 @@ def production_queue(pred: DataFrame, stockouts: DataFrame, menu: DataFrame, now
         )
     )
     return (
-        lookahead_demand(pred, menu, now)
-        .join(missed_units_today(stockouts, now), ["store_id", "item_id"], "left")
+        ahead.join(missed_units_today(stockouts, now), ["store_id", "item_id"], "left")
         .join(menu.select("item_id", "category"), "item_id", "left")
         .select(
             "store_id",

@@ -60,3 +60,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    """The file system of a path, which may be any that Spark reads, and the path in it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _place(spark, path)
+    return fs.exists(place)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if there is no such path."""
+    fs, place = _place(spark, path)
+    if not fs.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory())
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete files or folders; a missing one is no error."""
+    for path in paths:
+        fs, place = _place(spark, path)
+        fs.delete(place, True)

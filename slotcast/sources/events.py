@@ -1,31 +1,57 @@
-"""Event logs: one folder per kind, partitioned by date, all stores together."""
+"""Event logs: one folder per kind, partitioned by date, all stores together.
+
+What a log holds is told by its commits (``sources.commits``), not by what lies in its folders.
+"""
 
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Iterable
 from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from slotcast.functions.slots import ntz
 from slotcast.schemas import LOGS
 from slotcast.session import stage
+from slotcast.sources import commits
 
 DATE = "event_date"
-FLUSH = "flush"
+FLUSH = "flush"  # which write a row came from; until it is committed, the row is not there
+
+Schemas = dict[str, StructType]
+
 
+def _layout(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(FLUSH, StringType()), StructField(DATE, DateType())])
 
-def _layout(kind: str) -> StructType:
-    partitions = [StructField(FLUSH, LongType()), StructField(DATE, DateType())]
-    return StructType([*LOGS[kind].fields, *partitions])
 
+def read_events(
+    spark: SparkSession,
+    path: str,
+    kind: str,
+    since: datetime | None = None,
+    dates: Iterable[date] | None = None,
+    schemas: Schemas = LOGS,
+) -> DataFrame:
+    """A log with its fixed schema: the files that are committed, and no others.
 
-def read_events(spark: SparkSession, path: str, kind: str, since: datetime | None = None) -> DataFrame:
-    """A log with its fixed schema. ``since`` prunes date folders and row groups."""
-    schema = LOGS[kind]
-    events = spark.read.schema(_layout(kind)).parquet(os.path.join(path, kind))
+    ``since`` prunes files, date folders and row groups; ``dates`` leaves those days' files alone.
+    """
+    schema = schemas[kind]
+    wanted = None if dates is None else set(dates)
+    files = [
+        f["file"]
+        for f in commits.files(spark, path, kind)
+        if (since is None or (f["event_date"] is not None and f["event_date"] >= since.date()))
+        and (wanted is None or f["event_date"] in wanted)
+    ]
+    if not files:
+        return spark.createDataFrame([], schema)
+    events = spark.read.schema(_layout(schema)).option("basePath", os.path.join(path, kind)).parquet(*files)
     if since is not None:
         events = events.filter(
             (F.col(DATE) >= F.to_date(ntz(since))) & (F.col("created_at") >= ntz(since))
@@ -52,37 +78,83 @@ def union_stores(stores: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def _as_log(df: DataFrame, kind: str) -> DataFrame:
+def _as_log(df: DataFrame, schema: StructType) -> DataFrame:
     columns = [
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in LOGS[kind].fields
+        for f in schema.fields
     ]
     return df.select(*columns, F.to_date("created_at").alias(DATE))
 
 
-def append_events(df: DataFrame, epoch: int, path: str) -> None:
-    """Write one flush of events with a ``kind`` column to the three logs (runs jobs).
+def append_events(df: DataFrame, epoch: int, path: str, schemas: Schemas = LOGS) -> None:
+    """Write one flush of events with a ``kind`` column to the logs (runs jobs).
 
-    Each flush owns its folder and overwrites it, so a flush that is retried after a failure
-    neither loses nor doubles events.
+    All flushes share the date folders. A flush counts from its commit on, which is one small file written
+    last: a flush that failed before leaves rows that nobody reads, and one that is repeated after its
+    commit writes nothing. Flushes of one log come from one writer at a time, each under its own
+    ``epoch``.
     """
-    df.persist()  # one flush; read once, written to three logs
+    spark = df.sparkSession
+    if epoch in commits.epochs(spark, path):
+        return
+    df.persist()  # one flush; read once, written to the logs
     try:
-        for kind in LOGS:
-            (
-                _as_log(df.filter(F.col("kind") == kind), kind)
-                .write.mode("overwrite")
-                .partitionBy(DATE)
-                .parquet(os.path.join(path, kind, f"{FLUSH}={epoch}"))
-            )
+        entries = [_write(df.filter(F.col("kind") == kind), kind, path, schema) for kind, schema in schemas.items()]
+        newest = df.filter("kind = 'sales'").groupBy("store_id").agg(F.max("created_at").alias("last"))
+        commits.commit(spark, path, [*entries, commits.clock_entries(newest)], epoch)
     finally:
         df.unpersist()
 
 
+def _write(df: DataFrame, kind: str, path: str, schema: StructType) -> DataFrame:
+    """Add rows to a log's date folders, as yet uncommitted; returns the entries of their files."""
+    spark, folder, flush = df.sparkSession, os.path.join(path, kind), uuid.uuid4().hex
+    rows = _as_log(df, schema).withColumn(FLUSH, F.lit(flush))
+    days = [r[DATE] for r in rows.select(DATE).distinct().collect()]  # the days of one flush
+    # Rebalancing keeps files large: few per date, and a date with much data gets several.
+    rows.select(*schema.names, FLUSH, DATE).hint("rebalance", DATE).write.mode("append").partitionBy(DATE).parquet(folder)
+    of_days = F.lit(False)
+    for day in days:
+        of_days |= F.col(DATE).eqNullSafe(F.lit(day))
+    stored = spark.read.schema(_layout(schema)).parquet(folder).filter(of_days & (F.col(FLUSH) == flush))
+    return commits.file_entries(stored, kind)
+
+
+def compact_events(spark: SparkSession, path: str, before: date, schemas: Schemas = LOGS) -> None:
+    """Rewrite the days before ``before`` that lie in several files (runs jobs).
+
+    Commits what the log holds as a whole, so that readers need no older commit. Files that were replaced
+    stay until :func:`remove_replaced`, for readers that still have them in their plans.
+    """
+    new, replaced = [], []
+    for kind, schema in schemas.items():
+        of_day: dict[date, list[str]] = {}
+        for f in commits.files(spark, path, kind):
+            if f["event_date"] is not None and f["event_date"] < before:
+                of_day.setdefault(f["event_date"], []).append(f["file"])
+        days = [d for d, some in of_day.items() if len(some) > 1]
+        if days:
+            rows = read_events(spark, path, kind, dates=days, schemas=schemas)
+            new.append(_write(rows, kind, path, schema))
+            replaced += [f for d in days for f in of_day[d]]
+    commits.commit_snapshot(spark, path, new, replaced)
+
+
+def remove_replaced(spark: SparkSession, path: str) -> None:
+    """Delete the files and commits that the newest compaction replaced."""
+    commits.remove_replaced(spark, path)
+
+
+def read_clocks(spark: SparkSession, path: str, schemas: Schemas = LOGS) -> DataFrame:
+    """The time of the newest sale of each store, from the commits; no event is read."""
+    store = schemas["sales"]["store_id"].dataType
+    return commits.clocks(spark, path).withColumn("store_id", F.col("store_id").cast(store))
+
+
 def insert_events(df: DataFrame, kind: str, table: str) -> None:
     """Append events of one kind to a catalog table (runs a job)."""
     # Rebalancing keeps files large: few per date, and a date with much data gets several.
-    _as_log(df, kind).hint("rebalance", DATE).write.mode("append").insertInto(table)
+    _as_log(df, LOGS[kind]).hint("rebalance", DATE).write.mode("append").insertInto(table)
 
 
 def delete_from_cutoff(spark: SparkSession, tables: list[str], cutoff: datetime | date) -> None:

@@ -1,7 +1,10 @@
+import random
+import re
 from datetime import datetime
 
 import pytest
 from conftest import as_dicts
+from pyspark.sql import functions as F
 
 from slotcast.operators import live
 
@@ -95,3 +98,33 @@ def test_sim_now_of_a_store(make):
     sales = make([(s, "a", 1, 1.0, f"2024-01-0{d} 00:00:00") for d, s in ((1, "x"), (2, "y"))], SALES)
     assert str(live.sim_now(sales, "x").first().now) == "2024-01-01 00:00:00"
     assert str(live.sim_now(sales).first().now) == "2024-01-02 00:00:00"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lookahead_from_running_sums(spark, make, tmp_path, seed):
+    draw = random.Random(seed)
+    pred = make(
+        [(f"s{s}", f"i{i}", k, draw.random()) for s in range(3) for i in range(5) for k in range(672) if draw.random() < 0.1]
+        + [("s0", "lone", 671, 2.0), ("s0", "none", 300, 1.0), ("gone", "i0", 3, 1.0)],
+        "store_id string, item_id string, slot_index int, predicted_units double",
+    )
+    # From nothing to more than two weeks.
+    hold = {"i0": 0.2, "i1": 1.5, "i2": 100.0, "i3": 168.0, "i4": 400.25, "lone": 4.0, "none": 1.0}
+    menu = make(list(hold.items()), "item_id string, hold_time double")
+    now = make(
+        [("s0", "2024-01-07 23:50:00"), ("s1", "2024-01-08 00:00:00"), ("s2", "2024-01-10 13:20:00")],
+        "store_id string, now timestamp_ntz",
+    )
+    live.publish_lookahead(pred, str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    found = {(r.store_id, r.item_id): r.predicted_units for r in live.lookahead_of_index(index, menu, now).collect()}
+    want = {(r.store_id, r.item_id): r.predicted_units for r in live.lookahead_demand(pred, menu, now).collect()}
+    assert found.keys() == want.keys() and len(want) > 10
+    assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
+    # Where all stores have one clock, an item has two rows of the scan, or one if its window is empty.
+    one = now.withColumn("now", F.lit("2024-01-08 10:00:00").cast("timestamp_ntz"))
+    used = menu.filter("item_id IN ('i1')")
+    df = live.lookahead_of_index(index, used, one)
+    scanned = re.search(r"PushedFilters: \[.*?In\(slot_index, \[([\d,]+)\]", df._jdf.queryExecution().toString())
+    assert len(scanned[1].split(",")) == 2
+    assert index.filter(f"slot_index IN ({scanned[1]})").count() == 2 * pred.select("store_id", "item_id").distinct().count()

@@ -52,7 +52,15 @@ def test_filters_and_columns_reach_the_scan(physical):
 
 
 def test_todays_bound_reaches_the_scan(physical):
-    assert "GreaterThanOrEqual(ts,ScalarSub" in physical("missed_units_today")
+    assert "GreaterThanOrEqual(created_at,2024-01-30T00:00)" in physical("missed_units_today")
+
+
+@pytest.mark.parametrize("name", ["production_queue", "waste_summary_today", "replenishment", "open_items"])
+def test_read_outs_of_today_read_no_other_day(spark, name):
+    files = QUERIES[name](spark, SF).inputFiles()
+    assert files and not any("events.parquet" in f for f in files)  # no look at the whole sales log
+    days = {f.split("event_date=")[1][:10] for f in files if "event_date=" in f}
+    assert days == {"2024-01-30"}
 
 
 def test_sums_are_combined_before_the_shuffle(physical):

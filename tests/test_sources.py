@@ -1,5 +1,5 @@
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from conftest import as_dicts
@@ -51,6 +51,58 @@ def test_flushes_are_repeatable(spark, log, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in recent._jdf.queryExecution().toString()
     assert events.read_events(spark, path, "waste").first().reason is None
     assert events.read_events(spark, path, "stockouts").first().quantity_requested == 5
+    # All flushes of a day share its folder.
+    assert sorted(p.name for p in (tmp_path / "log" / "sales").glob("event_date=*")) == [
+        f"event_date=2024-01-0{d}" for d in (1, 2, 3)
+    ]
+
+
+def test_a_flush_without_commit_is_not_read(spark, log, make, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    events.append_events(log, 0, path)
+
+    def fail(*args):
+        raise RuntimeError("lost before the commit")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(events.commits, "commit", fail)
+        with pytest.raises(RuntimeError):
+            events.append_events(log, 1, path)
+    assert events.read_events(spark, path, "sales").count() == 4
+    events.append_events(log, 1, path)  # the retry
+    assert events.read_events(spark, path, "sales").agg(F.sum("quantity")).first()[0] == 30
+    later = make([("sales", "t", "a", 16, None, 2.5, "2024-01-04 08:00:00"), ("sales", "t", "a", 1, None, 1.0, None)], LOG)
+    events.append_events(later, 2, path)
+    assert events.read_events(spark, path, "sales").agg(F.sum("quantity")).first()[0] == 47
+    assert as_dicts(events.read_clocks(spark, path), "store_id") == [
+        {"store_id": "s", "now": datetime(2024, 1, 3, 9)}, {"store_id": "t", "now": datetime(2024, 1, 4, 8)},
+    ]
+
+
+def test_compaction_keeps_rows_clocks_and_epochs(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    assert events.read_events(spark, path, "sales").count() == 0
+    for epoch in range(4):
+        events.append_events(log, epoch, path)
+
+    def state():
+        sales = events.read_events(spark, path, "sales")
+        rows = sorted((r.created_at, r.quantity) for r in sales.collect())
+        return rows, len(sales.inputFiles()), as_dicts(events.read_clocks(spark, path), "store_id")
+
+    rows, n_files, clocks = state()
+    planned = events.read_events(spark, path, "sales")
+    events.compact_events(spark, path, date(2024, 1, 3))
+    assert planned.count() == 16  # its files are still there
+    compacted = state()
+    assert compacted[0] == rows and compacted[2] == clocks and (n_files, compacted[1]) == (12, 6)
+    events.remove_replaced(spark, path)
+    events.append_events(log, 3, path)  # a repeat is known after the compaction too
+    assert state() == compacted
+    events.append_events(log, 4, path)
+    assert events.read_events(spark, path, "waste").count() == 5
+    events.compact_events(spark, path, date(2024, 1, 5))
+    assert state()[1] == 3 and len(state()[0]) == 20
 
 
 @pytest.mark.parametrize(

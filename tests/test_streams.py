@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,19 +58,57 @@ def test_stockouts_equal_the_batch(spark, tmp_path):
 def test_updates_give_the_running_day_and_survive_a_repeat(spark, make, tmp_path):
     columns = "kind string, store_id string, item_id string, quantity int, price double, created_at timestamp_ntz"
     menu = make([("a", "side", 0.5)], "item_id string, category string, cost double")
+    keys = ["store_id", "item_id", "waste_date"]
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     for row in [("sales", "s", "a", 2, 1.5, "2024-01-01 10:00:00"), ("waste", "s", "a", 4, None, "2024-01-01 11:00:00"),
                 ("sales", "s", "a", 1, 1.5, "2024-01-01 12:00:00")]:
         df = make([row], columns)
         df.write.mode("append").parquet(source)
         sdf = streams.stream_waste_today(spark.readStream.schema(df.schema).parquet(source), menu)
-        sink = streams.upsert_sink(sdf, out, checkpoint).trigger(availableNow=True)
+        sink = streams.upsert_sink(sdf, out, checkpoint, keys).trigger(availableNow=True)
         sink.start().awaitTermination()
-    keys = ["store_id", "item_id", "waste_date"]
     row = streams.read_upserts(spark, out, sdf.schema, keys).collect()
     assert [(r.sales_quantity, r.sales_revenue, r.waste_quantity, r.waste_cost) for r in row] == [(3, 4.5, 4, 2.0)]
 
 
+def test_what_readers_read_follows_groups_not_triggers(spark, make, tmp_path):
+    columns = "store_id string, item_id string, quantity int, created_at timestamp_ntz"
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    keys = ["store_id", "item_id", "sale_15min"]
+
+    def run(times):
+        for i in times:
+            df = make([(f"s{k}", "a", 1, f"2024-01-01 {10 + k % 2}:00:00") for k in range(5)], columns)
+            df.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        sdf = streams.stream_slot_sales(stream, "1 day")
+        streams.upsert_sink(sdf, out, checkpoint, keys).trigger(availableNow=True).start().awaitTermination()
+        rows = streams.read_upserts(spark, out, sdf.schema, keys)
+        files = rows.inputFiles()
+        return sorted(r.slot_quantity for r in rows.collect()), len(files), sum(os.path.getsize(f.removeprefix("file:")) for f in files)
+
+    few, n_few, read_few = run(range(8))
+    many, n_many, read_many = run(range(42))
+    assert few == [8] * 5 and many == [50] * 5
+    assert read_many < 2 * read_few  # 50 triggers in place of 8
+    stored = sum(f.stat().st_size for f in (tmp_path / "out").rglob("*.parquet"))
+    assert stored < 3 * read_few  # folded folders do not pile up
+
+
+def test_a_base_that_was_not_finished_is_not_read(spark, make, tmp_path):
+    path, keys = str(tmp_path), ["k"]
+    for epoch, value in enumerate("abc"):
+        df = make([("x", value), (value, value)], "k string, v string")
+        df.write.parquet(f"{path}/tail/epoch={epoch}")
+    make([("x", "wrong")], "k string, v string").write.parquet(f"{path}/base/epoch=2")
+    os.remove(f"{path}/base/epoch=2/_SUCCESS")
+    for _ in range(3):
+        rows = streams.read_upserts(spark, path, df.schema, keys)
+        assert sorted(map(tuple, rows.collect())) == [("a", "a"), ("b", "b"), ("c", "c"), ("x", "c")]
+        streams.fold_upserts(spark, path, df.schema, keys)
+    assert len(rows.inputFiles()) == 1 or all("/base/" in f for f in rows.inputFiles())
+
+
 def test_append_resumes_where_it_stopped(spark, make, tmp_path):
     rows = [("s", "a", 1, f"2024-01-0{d} 10:00:00") for d in (1, 2)]
     columns = "store_id string, item_id string, quantity int, created_at timestamp_ntz"
