@@ -569,6 +569,12 @@ _BODIES = {
         UNION ALL SELECT 'stockout_summary', count(*) FROM
           (SELECT DISTINCT store_id, item_id, stockout_date, stockout_hour FROM stockouts)
         UNION ALL SELECT 'ml_training_features', count(*) FROM features""",
+    "refreshed_profile": f"SELECT {_PROFILE}, days_observed FROM profile",
+    "refreshed_cold_start": """SELECT m.category, p.day_of_week, p.sale_hour, p.slot_index,
+        round(avg(p.avg_slot_quantity), 6) AS avg_slot_quantity
+        FROM profile AS p JOIN menu AS m USING (item_id) GROUP BY ALL""",
+    "refreshed_traffic_ratio": """SELECT store_id, round(avg_daily_units, 6) AS avg_daily_units,
+        round(traffic_ratio, 6) AS traffic_ratio FROM traffic""",
     # The streams give out open windows too, so they equal the batch.
     "stream_slot_sales": """SELECT store_id, item_id, sale_15min, slot_index,
         CAST(sum(quantity) AS BIGINT) AS slot_quantity FROM sales GROUP BY ALL""",

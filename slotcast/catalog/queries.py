@@ -26,7 +26,7 @@ from slotcast.operators import (
     scoring,
     waste as waste_ops,
 )
-from slotcast.plans import forecast
+from slotcast.plans import forecast, refresh
 from slotcast.plans.marts import build_marts
 from slotcast.session import new_folder, stage
 from slotcast.sources import events as event_source, results as results_source
@@ -820,6 +820,41 @@ def store_predictions(spark, sf):
     return scan_store_predictions(spark, 5, f"{schema}.predictions")
 
 
+def _refreshed(spark, sf):
+    """The state of the profile marts after four flushes, each with a refresh.
+
+    The second flush brings late events of days that the first one had, and a compaction follows it.
+    """
+
+    def write(path: str) -> None:
+        day = F.dayofmonth("created_at")
+        late = (F.col("id") % 7 == 0) & (day <= 12)
+        flush = F.when(late, 1).when(day <= 12, 0).when(day <= 20, 1).when(day <= 28, 2).otherwise(3)
+        log = m.log(spark, sf).filter("kind = 'sales'").withColumn("flush", flush)
+        for epoch in range(4):
+            event_source.append_events(log.filter(F.col("flush") == epoch), epoch, f"{path}/log", m.SCHEMAS)
+            if epoch == 1:
+                event_source.compact_events(spark, f"{path}/log", date(2024, 1, 20), m.SCHEMAS)
+            refresh.refresh_profiles(spark, f"{path}/log", f"{path}/state", m.SCHEMAS)
+
+    return _stored(spark, sf, "refreshed", write) + "/state"
+
+
+@query
+def refreshed_profile(spark, sf):
+    return refresh.refreshed_profile(spark, _refreshed(spark, sf))
+
+
+@query
+def refreshed_cold_start(spark, sf):
+    return profiles.cold_start_profile(refresh.refreshed_profile(spark, _refreshed(spark, sf)), m.menu(spark))
+
+
+@query
+def refreshed_traffic_ratio(spark, sf):
+    return refresh.refreshed_traffic_ratio(spark, _refreshed(spark, sf))
+
+
 @query
 def marts(spark, sf):
     """Rows of every stored mart."""

@@ -106,6 +106,22 @@ def clocks(spark: SparkSession, path: str) -> DataFrame:
     return state(spark, path).filter("entry = 'clock'").groupBy("store_id").agg(F.max("last").alias("now"))
 
 
+def changed_days(spark: SparkSession, path: str, after: int, kind: str = "sales") -> set:
+    """The days of a log that flushes after the commit ``after`` wrote to.
+
+    Where commits after it are gone, those that a snapshot replaced, all days count as changed.
+    """
+    known = versions(spark, path)
+    if not known:
+        return set()
+    every = spark.read.schema(_WITH_VERSION).parquet(_folder(path)).filter(F.col("version") > after)
+    if after + 1 >= known[0]:
+        snapshots = every.filter("entry = 'snapshot'").select("version")
+        every = every.join(F.broadcast(snapshots), "version", "left_anti")  # one row for each compaction kept
+    days = every.filter((F.col("entry") == "file") & (F.col("kind") == kind)).select("event_date").distinct()
+    return {r["event_date"] for r in days.collect()}
+
+
 def commit_snapshot(spark: SparkSession, path: str, new: list[DataFrame], replaced: list[str]) -> None:
     """Commit all that holds, with the entries ``new`` in place of the files ``replaced`` (runs a job)."""
     held = state(spark, path)
