@@ -1,9 +1,12 @@
-"""A bounded table of values that were computed before."""
+"""A bounded table of values that were computed before, and ids of texts put together from it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+
 
 class Known(dict):
     """Values of texts met before, within about ``limit`` bytes.
@@ -32,3 +35,40 @@ class Known(dict):
             self.size = 0
         self[key] = value
         return value
+
+
+def joined_ids(
+    split: pa.ListArray, ids_of: Callable[[str], bytes], end: bytes, first: list[bytes] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts that Arrow has split into words, each text followed by ``end``, and the number of each.
+
+    Arrow numbers the distinct words, and only these are looked up. ``first`` are the ids of the texts'
+    first words, where these differ from the same words further on.
+    """
+    bounds = split.offsets.to_numpy().astype(np.int64)
+    numbered = split.values.dictionary_encode()
+    words = list(map(ids_of, numbered.dictionary.to_pylist()))
+    codes = numbered.indices.to_numpy().astype(np.int64)
+    if first is not None:
+        codes[bounds[:-1]] = len(words) + np.arange(len(first))
+        words += first
+    codes = np.insert(codes, bounds[1:], len(words))
+    words.append(end)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) // 4
+    flat = np.frombuffer(b"".join(words), np.uint32)
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[codes]
+    before = np.cumsum(n) - n
+    ids = flat[np.repeat(starts[codes] - before, n) + np.arange(n.sum())]
+    return ids, np.add.reduceat(n, bounds[:-1] + np.arange(len(split)))
+
+
+def text_runs(texts: list[str], most: int = 6_000_000) -> list[tuple[int, int]]:
+    """Runs of texts of up to ``most`` characters; a longer text is a run by itself."""
+    runs, first, held = [], 0, 0
+    for i, text in enumerate(texts):
+        if i > first and held + len(text) > most:
+            runs.append((first, i))
+            first, held = i, 0
+        held += len(text)
+    return [*runs, (first, len(texts))] if texts else []

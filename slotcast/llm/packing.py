@@ -17,15 +17,17 @@ import re
 import sys
 import zlib
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotcast.llm.common import by_batch, narrow, stage, table, texts_of
+from slotcast.llm.known import Known, joined_ids, text_runs
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -42,39 +44,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
-class Known(dict):
-    """Values of words met before. Beyond ``limit`` words the older half is dropped when unused."""
-
-    def __init__(self, value_of: Callable[[str], bytes], limit: int):
-        self.value_of, self.limit, self.old = value_of, limit // 2, {}
-
-    def __missing__(self, word: str) -> bytes:
-        value = self.old.get(word)
-        if value is None:
-            value = self.value_of(word)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[word] = value
-        return value
-
-
 class Ids:
-    """Ids of whole texts as little-endian 32-bit bytes, through a bounded tables of known words.
+    """Ids of whole texts as little-endian 32-bit integers, through bounded tables of known words.
 
     White space separates words in this vocabulary and is dropped, so a text's ids are those of
     its chunks between blanks and line ends. A chunk of plain letters, digits and signs is cut into
     words here, which the tokenizer's own merges turn into ids; any other goes to the tokenizer whole.
+    The tables are bounded by bytes and belong to one task.
     """
 
-    def __init__(self, model: str, words: int = 800_000, chunks: int = 600_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(model)
-        self.bpe = self.tokenizer.model
+    def __init__(self, tokenizer, memory: int = 64 << 20):
+        self.tokenizer = tokenizer
+        self.bpe = tokenizer.model
         self.letters = _byte_letters()
-        self.words = Known(self._word, words)
-        self.chunks = Known(self._chunk, chunks)
+        self.words = Known(self._word, memory // 2)
+        self.chunks = Known(self._chunk, memory // 2)
 
     def _word(self, word: str) -> bytes:
         spelled = word.encode().decode("latin-1").translate(self.letters)
@@ -88,13 +72,20 @@ class Ids:
     def of(self, text: str) -> bytes:
         return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def of_all(self, texts: list[str], end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by ``end``, and the number of each."""
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        return joined_ids(split, self.chunks.__getitem__, end)
+
 
 @lru_cache(maxsize=1)
-def _ids(model: str) -> Ids:
-    """Kept by a Python worker between its tasks."""
+def _tokenizer(model: str):
+    """Kept by a Python worker between its tasks: of the vocabulary's fixed size."""
+    from tokenizers import Tokenizer
+
     if array("I").itemsize != 4 or sys.byteorder != "little":
         raise RuntimeError("ids are written as this machine's 32-bit little-endian integers")
-    return Ids(model)
+    return Tokenizer.from_str(model)
 
 
 def cut_pieces(
@@ -114,19 +105,23 @@ def cut_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def make():
-        ids_of = _ids(shared.value).of
+        known = Ids(_tokenizer(shared.value))
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                ids = (ids_of(text) if text else b"") + end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    piece = ids[4 * start : 4 * (start + window)]
-                    rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), total))
-            columns = zip(*rows)
+            docs, texts, parts = batch.column("doc_id"), texts_of(batch), []
+            for a, b in text_runs(texts):
+                ids, n = known.of_all(texts[a:b], end)
+                pieces = -(-n // window)
+                doc = np.repeat(np.arange(b - a), pieces)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
+                length = np.minimum(n[doc] - start, window)
+                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                at = (np.cumsum(n) - n)[doc] + start
+                crc = [zlib.crc32(data[4 * x : 4 * (x + k)]) for x, k in zip(at.tolist(), length.tolist())]
+                parts.append((docs.slice(a, b - a).take(pa.array(doc)), start, length, crc, n[doc]))
+            columns = [pa.concat_arrays([pa.array(c, pa.int64()) for c in column]) for column in zip(*parts)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         return one
 

@@ -6,7 +6,7 @@ of a pre-token and the counts of the pre-tokens add up to the count of the text.
 
 Each task keeps the distinct pre-tokens it has met with their number of pieces. The frequencies of
 a document's pre-tokens are joined to that table and summed; ids of a text are never made. The
-table is bounded by ``memo`` entries and starts anew beyond that, which costs time, not rows. No
+table is bounded by ``memo`` bytes, about, and starts anew beyond that, which costs time, not rows. No
 shuffle is needed: a distributed join would move a row for each document and word.
 """
 
@@ -76,7 +76,7 @@ def count_tokens(
     limit: int = 4096,
     id_col: str = "doc_id",
     text_col: str = "text",
-    memo: int = 500_000,
+    memo: int = 96 << 20,
 ) -> DataFrame:
     """Number of pieces of every whole text.
 
@@ -91,17 +91,20 @@ def count_tokens(
     def make():
         pieces = _load(shared.value)
         known: dict[str, int] = {}
+        held = 0
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            nonlocal held
             tokens, distinct = [], []
             for text in texts_of(batch):
                 frequencies = Counter(pretokens(text)) if text else Counter()
                 new = [w for w in frequencies if w not in known]
                 if new:
-                    if len(known) > memo:
+                    if held > memo:
                         known.clear()
-                        new = list(frequencies)
+                        held, new = 0, list(frequencies)
                     known.update(count_pieces(pieces, new))
+                    held += sum(map(len, new)) * 2 + len(new) * 150
                 tokens.append(sum(known[w] * n for w, n in frequencies.items()))
                 distinct.append(len(frequencies))
             size = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())

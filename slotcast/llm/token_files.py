@@ -32,13 +32,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast.llm.common import narrow, scratch, shuffle_partitions, table, texts_of
-from slotcast.llm.known import Known
+from slotcast.llm.known import Known, joined_ids, text_runs
 
 ROWS = "doc_id long, shard int, first long, n_tokens long, tokens array<int>"
 SHARDS = "shard int, base long, n_tokens long, n_docs long, first_doc long, last_doc long"
 
-_SLICE = 6_000_000  # characters of texts that are encoded together
-
 
 # Letters, digits and signs whose classes this module knows by itself; others go to the tokenizer.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -107,29 +105,12 @@ class Encoder:
 
 
     def of_all(self, texts: list[str], end: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by ``end``, and the number of each.
-
-        Arrow splits the texts and numbers their distinct words; only these are looked up.
-        """
+        """Ids of all texts, each followed by ``end``, and the number of each."""
         whole = [bool(self.blanks(t)) for t in texts]
         split = pc.split_pattern(pa.array([("" if w else t) for t, w in zip(texts, whole)], pa.string()), " ")
-        bounds = split.offsets.to_numpy().astype(np.int64)
-        numbered = split.values.dictionary_encode()
-        words = list(map(self.after_blank.__getitem__, numbered.dictionary.to_pylist()))
-        codes = numbered.indices.to_numpy().astype(np.int64)
         # Words at the start have no blank before them; a text with runs of white space is one word here.
-        codes[bounds[:-1]] = len(words) + np.arange(len(texts))
-        words += [self.of(t) if w else self._word(t.partition(" ")[0]) if t else b"" for t, w in zip(texts, whole)]
-        codes = np.insert(codes, bounds[1:], len(words))
-        words.append(end)
-
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) // 4
-        flat = np.frombuffer(b"".join(words), np.int32)
-        starts = np.cumsum(sizes) - sizes
-        n = sizes[codes]
-        before = np.cumsum(n) - n
-        ids = flat[np.repeat(starts[codes] - before, n) + np.arange(n.sum())]
-        return ids, np.add.reduceat(n, bounds[:-1] + np.arange(len(texts)))
+        first = [self.of(t) if w else self._word(t.partition(" ")[0]) if t else b"" for t, w in zip(texts, whole)]
+        return joined_ids(split, self.after_blank.__getitem__, end, first)
 
 
 @lru_cache(maxsize=1)
@@ -138,18 +119,6 @@ def _encoder(model: str) -> Encoder:
     return Encoder(model)
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Runs of texts that are encoded together; a very long text is a run by itself."""
-    first = held = 0
-    for i, text in enumerate(texts):
-        if i > first and held + len(text) > _SLICE:
-            yield first, i
-            first, held = i, 0
-        held += len(text)
-    if texts:
-        yield first, len(texts)
-
-
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of the file format: documents in order, each with its ids and the end id.
 
@@ -165,7 +134,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str =
         encoder, shard, before = _encoder(shared.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             docs, texts = batch.column("doc_id"), texts_of(batch)
-            for a, b in _slices(texts):
+            for a, b in text_runs(texts):
                 ids, n = encoder.of_all(texts[a:b], end)
                 ends = np.cumsum(n)
                 columns = [
@@ -173,7 +142,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str =
                     pa.array(np.full(b - a, shard, np.int32)),
                     pa.array(before + ends - n),
                     pa.array(n),
-                    pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids)),
+                    pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids.view(np.int32))),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "shard", "first", "n_tokens", "tokens"])
                 before += int(ends[-1])

@@ -19,14 +19,16 @@ def tokenizer():
 
 
 def test_ids_are_the_tokenizers(tokenizer):
-    with open(PATH, encoding="utf8") as f:
-        ids = Ids(f.read(), words=50, chunks=50)
+    ids = Ids(tokenizer, memory=20_000)
     rng = random.Random(8)
     parts = [*" \n\tabTS1É'éßẞ<|>sſµª²́İΣ.,!\x85　中&", "<|endoftext|>", "'S ", "it's", "Straße", "don't"]
     for _ in range(3000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
         want = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids.of(text), "<u4").tolist() == want, text
+        every, n = ids.of_all([text, "", text], np.array([2], "<u4").tobytes())
+        assert every.tolist() == [*want, 2, 2, *want, 2] and n.tolist() == [len(want) + 1, 1, len(want) + 1]
+    assert len(ids.chunks) + len(ids.chunks.old) < 100  # bounded by bytes
 
 
 def test_every_id_lies_in_one_place(spark, tokenizer):
