@@ -76,8 +76,18 @@ def by_batch(
     return docs.mapInArrow(run, schema)
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_ROWS = 2_000  # whole texts, of which a worker holds a batch as it comes, as strings, and as results
+
+
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
-    """Only the columns an operator reads, under its own names, so that others cannot clash."""
+    """Only the columns an operator reads, under its own names, so that others cannot clash.
+
+    Where the session still has Spark's own number of rows to an Arrow batch, it is lowered for texts.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH) == "10000":
+        conf.set(_BATCH, str(_BATCH_ROWS))
     return docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),

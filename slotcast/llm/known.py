@@ -63,7 +63,7 @@ def joined_ids(
     return ids, np.add.reduceat(n, bounds[:-1] + np.arange(len(split)))
 
 
-def text_runs(texts: list[str], most: int = 6_000_000) -> list[tuple[int, int]]:
+def text_runs(texts: list[str], most: int = 2_000_000) -> list[tuple[int, int]]:
     """Runs of texts of up to ``most`` characters; a longer text is a run by itself."""
     runs, first, held = [], 0, 0
     for i, text in enumerate(texts):

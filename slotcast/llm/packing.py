@@ -53,7 +53,7 @@ class Ids:
     The tables are bounded by bytes and belong to one task.
     """
 
-    def __init__(self, tokenizer, memory: int = 64 << 20):
+    def __init__(self, tokenizer, memory: int = 40 << 20):
         self.tokenizer = tokenizer
         self.bpe = tokenizer.model
         self.letters = _byte_letters()
