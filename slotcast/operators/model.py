@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from slotcast.constants import (
     FEATURE_COLUMNS,
@@ -17,6 +19,7 @@ from slotcast.constants import (
     TREES,
     URGENCY_THRESHOLD,
 )
+from slotcast.functions.prefix import units_before
 from slotcast.functions.slots import col
 from slotcast.session import shared_folder
 
@@ -41,36 +44,26 @@ def encode_labels(df: DataFrame) -> tuple[DataFrame, StringIndexerModel]:
 def chronological_cut(df: DataFrame, frac: float = TRAIN_FRACTION) -> tuple | None:
     """The last training row in (date, store, item, slot) order, or None if there is none.
 
-    Runs four small jobs. The position is found from counts: per date, then per store on that
-    date, then per item in that store, then per slot. The windows run over counts, so no row is
-    ranked against the whole table, and one row per job reaches the driver.
+    Runs two jobs. The rows of each date, which the driver may hold, tell the date and the place on it. The
+    rows of that date alone are counted per slot, and running totals that go item by item and store by
+    store find the slot at that place, so no row is ranked against the whole table.
     """
-    cut: list = []
-    position = None
-    for key in ROW_ORDER:
-        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        running = counts.select(
-            key,
-            "n",
-            F.sum("n").over(Window.orderBy(key)).alias("through"),
-            F.sum("n").over(Window.partitionBy()).alias("total"),
-        )
-        wanted = F.lit(position) if cut else F.floor(F.col("total") * F.lit(frac))
-        found = (
-            running.withColumn("wanted", wanted)
-            .filter((F.col("wanted") > 0) & (F.col("through") >= F.col("wanted")))
-            .agg(
-                F.min(key).alias("key"),
-                F.min_by(F.col("wanted") - (F.col("through") - F.col("n")), key).alias("place"),
-            )
-            .first()
-        )
-        if found["key"] is None:
-            return None
-        cut.append(found["key"])
-        position = found["place"]
-        df = df.filter(F.col(key) == F.lit(found["key"]))
-    return tuple(cut)
+    day, *rest = ROW_ORDER
+    counts = {r[day]: r["n"] for r in df.groupBy(day).agg(F.count(F.lit(1)).alias("n")).collect()}
+    place = math.floor(sum(counts.values()) * frac)
+    if place <= 0:
+        return None
+    for cut in sorted(counts, key=lambda d: (d is not None, d)):
+        if place <= counts[cut]:
+            break
+        place -= counts[cut]
+    if cut is None:
+        return None
+    slots = df.filter(F.col(day) == F.lit(cut)).groupBy(*ROW_ORDER).agg(F.count(F.lit(1)).alias("n"))
+    running = units_before(slots, [day], [rest[-1]], "n", rest[:-1], "before")
+    here = (F.col("before") < place) & (F.col("before") + F.col("n") >= place)
+    found = running.filter(here).select(*rest).first()
+    return None if found is None else (cut, *found)
 
 
 def chronological_split(df: DataFrame, frac: float = TRAIN_FRACTION) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from slotcast.constants import (
     AVAILABLE_HOURS,
@@ -28,7 +28,7 @@ from slotcast.constants import (
 from slotcast.functions.scoring import effective_price as price_on_day
 from slotcast.functions.slots import day_of_slot, hour_of_slot, minute_of_slot, slot_of
 from slotcast.operators.live import Now, with_now
-from slotcast.session import shuffle_partitions
+from slotcast.session import shuffle_partitions, stage
 
 ITEM = ["store_id", "item_id"]
 SLOT = [*ITEM, "slot_index"]
@@ -257,14 +257,26 @@ def production_plan(
     model: Callable[[DataFrame], DataFrame] = profile_model,
     vocab: DataFrame | None = None,
     weather_by_region: DataFrame | None = None,
+    grid_rows: Observation | None = None,
 ) -> DataFrame:
     """Predicted units for each row of the grid.
 
-    ``model`` adds ``predicted_units`` to its input, which are the warm rows alone. Warm and other
-    rows are two branches over the same grid, whose shuffles Spark makes once and reads twice.
+    ``model`` adds ``predicted_units`` to its input, which are the warm rows alone. The profile mean is a column
+    that every row has, so its plan is one pass. For any other model the grid is routed once and written
+    (runs a job), since the warm rows and the others are read apart; ``grid_rows`` is then told how many rows
+    were written, as ``n``.
     """
-    features = grid_features(stores, menu, profile, as_of)
-    routed = route_rows(features, vocab)
+    routed = route_rows(grid_features(stores, menu, profile, as_of), vocab)
+    if model is profile_model:
+        chosen = (
+            F.when(F.col("route") == "warm", F.col("avg_slot_quantity"))
+            .when(F.col("route") == "zero", F.lit(0.0))
+            .otherwise(F.col("predicted_units"))
+        )
+        return cold_prediction(routed, cold, ratio).select(*ITEM, chosen.alias("predicted_units"), "slot_index")
+    if grid_rows is not None:
+        routed = routed.observe(grid_rows, F.count(F.lit(1)).alias("n"))
+    routed = stage(routed, "routed-grid")
     is_warm = F.col("route") == "warm"
     warm = model(with_weekend(attach_weather(routed.filter(is_warm), stores, weather_by_region)))
     others = cold_prediction(routed.filter(~is_warm), cold, ratio)

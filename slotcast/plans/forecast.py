@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from slotcast.constants import TREES
 from slotcast.operators import model as ml
@@ -67,10 +67,12 @@ def publish_plan(
 ) -> None:
     """Write the plan, in store order, so that a store's dashboard reads few row groups.
 
-    ``model`` is a fitted model or the path of a stored one.
+    ``model`` is a fitted model or the path of a stored one. Rows are counted as the grid and the plan are
+    written, so that a plan that lost or doubled rows is an error, and the table stays as it was.
     """
     model = load_model(model) if isinstance(model, str) else model
     predict: Callable[[DataFrame], DataFrame] = lambda df: ml.predict_warm(model, df)
+    n_grid, n_plan = Observation("grid"), Observation("plan")
     plan = production_plan(
         dims.stores,
         dims.menu,
@@ -81,7 +83,11 @@ def publish_plan(
         predict,
         known_items(model, marts["baseline_profile"]),
         weather_by_region,
+        n_grid,
     )
+    plan = stage(plan.observe(n_plan, F.count(F.lit(1)).alias("n")), "plan")
+    if n_grid.get["n"] != n_plan.get["n"]:
+        raise RuntimeError(f"the plan has {n_plan.get['n']} rows for {n_grid.get['n']} of the grid")
     stamped = plan.withColumn("predicted_at", F.localtimestamp())
     overwrite_table(stamped, table, ["store_id", "item_id", "slot_index"])
 
