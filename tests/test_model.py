@@ -147,17 +147,25 @@ def test_quality(make):
     assert not quality.row_count_invariant(df, df.limit(2)).first().holds
 
 
-def test_every_prediction_is_the_walk_over_the_nodes(spark, tmp_path):
+PLAN_SF = "/root/testdata/sf0.01"  # large enough for warm rows
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    from slotcast.catalog.queries import _features
+
+    return forecast.train(_features(spark, PLAN_SF), 8)
+
+
+def test_every_prediction_is_the_walk_over_the_nodes(spark, fitted, tmp_path):
     from slotcast.catalog import mapping as m
-    from slotcast.catalog.queries import _features, _launch_inputs
+    from slotcast.catalog.queries import _launch_inputs
     from slotcast.operators import plan as planning, trees
-    from slotcast.plans import forecast
 
-    sf = "/root/testdata/sf0.001"
-    model, test_rows = forecast.train(_features(spark, sf), 25)
+    model, test_rows = fitted
     forecast.save_model(model, str(tmp_path / "model"))
     nodes = trees.tree_nodes(spark, str(tmp_path / "model"))
-    assert nodes.select("tree").distinct().count() == 25
+    assert nodes.select("tree").distinct().count() == 8
     assert nodes.filter("(feature IS NULL) <> (left IS NULL)").count() == 0
 
     def differs(df):
@@ -166,35 +174,37 @@ def test_every_prediction_is_the_walk_over_the_nodes(spark, tmp_path):
     scored = trees.walk_trees(ml.predict_warm(model, test_rows), nodes, model)
     assert scored.count() > 100 and differs(scored) == 0
     assert scored.agg(F.count_distinct(F.round("walked_units", 6))).first()[0] > 10
-    # The warm rows of a plan, which have to come through the same route.
-    inputs = (m.stores(spark), m.menu(spark), *_launch_inputs(spark, sf), F.lit("2024-01-30").cast("date"))
-    by_model = planning.production_plan(*inputs, lambda df: ml.predict_warm(model, df))
+    # The warm rows of a plan, which come through routing, weather and weekend.
+    warm = []
+    inputs = (m.stores(spark), m.menu(spark), *_launch_inputs(spark, PLAN_SF), F.lit("2024-01-30").cast("date"))
+
+    def by_model(df):
+        warm.append(df.count())
+        return ml.predict_warm(model, df)
+
+    planned = planning.production_plan(*inputs, by_model)
     walked = planning.production_plan(
         *inputs, lambda df: trees.walk_trees(df, nodes, model, "predicted_units")
     ).withColumnRenamed("predicted_units", "walked_units")
-    both = by_model.join(walked, ["store_id", "item_id", "slot_index"])
-    assert both.count() == by_model.count() == walked.count() and differs(both) == 0
+    both = planned.join(walked, ["store_id", "item_id", "slot_index"])
+    assert warm[0] > 100
+    assert both.count() == planned.count() == walked.count() and differs(both) == 0
 
 
-def test_a_plan_that_loses_rows_is_not_published(spark, tmp_path, monkeypatch):
+def test_a_plan_that_loses_rows_is_not_published(spark, fitted, tmp_path, monkeypatch):
     from slotcast.catalog import mapping as m
-    from slotcast.catalog.queries import _features, _launch_inputs
-    from slotcast.plans import forecast
+    from slotcast.catalog.queries import _launch_inputs
 
-    sf = "/root/testdata/sf0.001"
-    model, _ = forecast.train(_features(spark, sf), 2)
-    profile, cold, ratio = _launch_inputs(spark, sf)
+    model, predict = fitted[0], ml.predict_warm
+    profile, cold, ratio = _launch_inputs(spark, PLAN_SF)
     marts = {"baseline_profile": profile, "cold_start_profile": cold, "traffic_ratio": ratio}
     day = F.lit("2024-01-30").cast("date")
     spark.sql(f"CREATE SCHEMA published LOCATION '{tmp_path}/published'")
     forecast.publish_plan(marts, m.dims(spark), day, model, "published.plan")
     n = spark.table("published.plan").count()
-    assert n > 100
+    assert n > 1_000
     with monkeypatch.context() as patched:
-        patched.setattr(forecast.ml, "predict_warm", lambda model, df: ml_predict(model, df).limit(3))
+        patched.setattr(ml, "predict_warm", lambda model, df: predict(model, df).limit(3))
         with pytest.raises(RuntimeError, match="rows for"):
             forecast.publish_plan(marts, m.dims(spark), day, model, "published.plan")
     assert spark.table("published.plan").count() == n
-
-
-ml_predict = ml.predict_warm
