@@ -57,6 +57,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_buckets(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Write ``df`` to the shared folder, bucketed by ``keys``, and read it back (runs a job).
+
+    There are as many buckets as a shuffle has partitions, so a join on ``keys`` moves the other side
+    only. The catalog forgets the table at once; its files stay.
+    """
+    spark = df.sparkSession
+    buckets, known = shuffle_partitions(spark), f"{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys).write.option("path", scratch(spark, name)).option("compression", "zstd")
+    dealt.bucketBy(buckets, *keys).saveAsTable(known)
+    table = spark.table(known)
+    spark.sql(f"DROP TABLE {known}")
+    return table
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -19,7 +19,9 @@ A string of ``length`` bytes that starts at two places is found without sorting
    hash instead.
 5. Repeated windows go back to their documents by id and hash of the text, and the bytes are cut.
 
-Anchors, contexts and decisions are tables in the shared folder. The driver holds splitters only.
+Texts are moved once, into a table bucketed by id and hash of the text; lists of anchors and spans come
+to the buckets of their texts. Anchors, contexts and decisions are tables in the shared folder too. The
+driver holds splitters only.
 """
 
 from __future__ import annotations
@@ -36,11 +38,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import by_batch, narrow, shuffle_partitions, stage, table, texts_of
+from slotcast.llm.common import by_batch, narrow, shuffle_partitions, stage, stage_buckets, table, texts_of
 
 LENGTH, GRAM = 200, 64
-#: Contexts of one gram that a task takes; bytes of suffixes in a sorted run; broadcast list entries.
-HOT, RUN_BYTES, LISTED = 20_000, 32_000_000, 250_000
+#: Contexts of one gram that a task takes; bytes of suffixes in a sorted run.
+HOT, RUN_BYTES = 20_000, 32_000_000
 _BASE = 0xC2B2AE3D27D4EB4F
 _SEGMENT = 1 << 18
 _PLACE_BITS = 24
@@ -414,9 +416,8 @@ def _entries(lists: DataFrame, name: str) -> int:
 
 
 def _texts_with(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One row for each text that has wanted anchors; short lists are broadcast, by their entries."""
-    few = _entries(wanted, "wanted") <= LISTED
-    return docs.select("doc", "t1", "text").join(F.broadcast(wanted) if few else wanted, ["doc", "t1"])
+    """One row for each text that has wanted anchors. Only the lists move, a bucket's are a part of its texts."""
+    return docs.select("doc", "t1", "text").join(wanted.hint("shuffle_hash"), ["doc", "t1"])
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -438,7 +439,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     near = stage(edges.where(F.col("contexts") <= HOT).groupBy("doc", "t1").agg(wants), "edges")
     texts = _texts_with(docs, near)
     parts = shuffle_partitions(spark)
-    runs = sorted_runs(texts, _splitters(texts, near, parts, gram), length)
+    runs = sorted_runs(texts, _splitters(docs, near, parts, gram), length)
     answers.append(stage(merged_answers(runs, parts, length), "answers"))
     hot = stage(edges.where(F.col("contexts") > HOT).groupBy("doc", "t1").agg(wants), "hot")
     if not hot.isEmpty():
@@ -454,15 +455,16 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     return marked.groupBy("doc", "t1").agg(F.collect_set("s").alias("spans"))  # of one text
 
 
-def _splitters(texts: DataFrame, wanted: DataFrame, parts: int, gram: int, keep: int = 64) -> list[bytes]:
+def _splitters(docs: DataFrame, wanted: DataFrame, parts: int, gram: int, keep: int = 64) -> list[bytes]:
     """Sampled grams, about ``keep`` for each part, that cut the suffixes into about equal buckets.
 
     Suffixes of one gram fall into one bucket. Runs a job.
     """
-    sample = texts.select("text", F.explode("wanted").alias("w"))
     total = max(1, _entries(wanted, "wanted"))
     share = max(1, total // (parts * keep))
-    picked = sample.where(F.pmod("w.gram", F.lit(share)) == 0).select(
+    some = F.filter("wanted", lambda w: F.pmod(w["gram"], F.lit(share)) == 0)
+    sample = wanted.select("doc", "t1", some.alias("wanted")).where(F.size("wanted") > 0)
+    picked = _texts_with(docs, sample).select("text", F.explode("wanted").alias("w")).select(
         "text", (F.col("w.start") + F.col("w.offset")).alias("at")
     )
 
@@ -493,9 +495,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         F.xxhash64(text).alias("t1"),
         text.alias("text"),
     )
+    docs = stage_buckets(docs, "texts", "doc", "t1")
     found = stage(repeats(docs, length, gram), "repeats")
-    few = _entries(found, "spans") <= LISTED
-    joined = docs.join(F.broadcast(found) if few else found, ["doc", "t1"], "left").select("doc_id", "text", "spans")
+    joined = docs.join(found.hint("shuffle_hash"), ["doc", "t1"], "left").select("doc_id", "text", "spans")
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
