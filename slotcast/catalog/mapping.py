@@ -124,12 +124,22 @@ def stores(spark: SparkSession) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession) -> DataFrame:
-    day = F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date")))
+def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store for each supplier, so that the chain grows with the given tables."""
+    s = F.col("s_suppkey")
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        s.cast("int").alias("store_id"), F.when(s % 2 == 0, "24/7").otherwise("5am-11pm").alias("hours")
+    )
+
+
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weather of each region on every day from the first event to the last."""
+    ends = _read(spark, sf_dir).agg(F.to_date(F.min("ts")).alias("first"), F.to_date(F.max("ts")).alias("last"))
+    day = F.explode(F.sequence("first", "last"))
     r, d = F.col("region"), F.dayofmonth("sale_date")
     return (
-        spark.range(4)
-        .select(F.col("id").cast("int").alias("region"), day.alias("sale_date"))
+        ends.select(F.explode(F.lit(list(range(4)))).alias("region"), "first", "last")
+        .select("region", day.alias("sale_date"))
         .select(
             "region",
             "sale_date",
@@ -143,8 +153,8 @@ def logs(spark: SparkSession, sf_dir: str) -> Logs:
     return Logs(raw_sales(spark, sf_dir), raw_waste(spark, sf_dir), raw_stockouts(spark, sf_dir))
 
 
-def dims(spark: SparkSession) -> Dims:
-    return Dims(stores(spark), menu(spark), weather(spark))
+def dims(spark: SparkSession, sf_dir: str) -> Dims:
+    return Dims(stores(spark), menu(spark), weather(spark, sf_dir))
 
 
 def store_days(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,8 +60,9 @@ _TABLES = {
                10.0::DOUBLE + (day(d.sale_date) * 37 + g.r * 23) % 91 AS temp_f,
                (day(d.sale_date) + g.r) % 3 = 0 AS precip
         FROM range(4) AS g(r),
-             (SELECT CAST(DATE '2024-01-01' + CAST(i AS INTEGER) AS DATE) AS sale_date
-              FROM range(30) AS n(i)) AS d""",
+             (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY))
+                          AS DATE) AS sale_date FROM events) AS d""",
+    "chain": "SELECT CAST(s_suppkey AS INTEGER) AS store_id FROM supplier",
     "hours_of": f"SELECT * FROM (VALUES {_HOURS}) AS h(time_of_day, first_hour, end_hour)",
     "slots": """
         SELECT store_id, item_id, sale_date, sale_hour, slot_index, day_of_week,
@@ -328,7 +329,7 @@ _BODIES = {
         FROM ahead AS a JOIN clocks AS c USING (store_id) JOIN curve AS v ON v.hour = hour(c.now)
         LEFT JOIN wasted_today AS w ON w.store_id = a.store_id AND w.item_id = a.item_id
         LEFT JOIN missed AS x ON x.store_id = a.store_id AND x.item_id = a.item_id""",
-    "store_item_slot_grid": "SELECT * FROM grid",
+    "store_item_slot_grid": "SELECT c.store_id, g.* EXCLUDE (store_id) FROM chain AS c, grid AS g WHERE g.store_id = 0",
     "complete_features": """SELECT * REPLACE (round(avg_slot_quantity, 6) AS avg_slot_quantity)
         FROM completed""",
     "grid_features": """SELECT * REPLACE (round(avg_slot_quantity, 6) AS avg_slot_quantity)
@@ -611,6 +612,19 @@ _BODIES = {
         GROUP BY store_id, item_id""",
     "stream_append_logs": """SELECT kind, CAST(created_at AS DATE) AS day,
         CAST(sum(quantity) AS BIGINT) AS units, count(*) AS n_events FROM log GROUP BY ALL""",
+    "stream_quality": """SELECT test, column_name, CAST(failures AS BIGINT) AS failures,
+        (SELECT count(*) FROM sales) AS n_rows FROM
+        (SELECT 'not_null' AS test, * FROM
+            (SELECT count(*) FILTER (store_id IS NULL) AS store_id,
+                    count(*) FILTER (item_id IS NULL) AS item_id,
+                    count(*) FILTER (quantity IS NULL) AS quantity, count(*) FILTER (price IS NULL) AS price,
+                    count(*) FILTER (created_at IS NULL) AS created_at FROM sales) AS t
+            UNPIVOT (failures FOR column_name IN (store_id, item_id, quantity, price, created_at))
+         UNION ALL SELECT 'accepted_range', 'quantity', count(*) FILTER (quantity < 1) FROM sales
+         UNION ALL SELECT 'accepted_range', 'price', count(*) FILTER (price < 10) FROM sales
+         UNION ALL SELECT 'freshness', 'created_at',
+            CASE WHEN (SELECT max(created_at) FROM log) - max(created_at) > INTERVAL 30 MINUTE THEN 1 ELSE 0 END
+            FROM sales)""",
     "stream_append": """SELECT store_id, item_id, quantity, round(price, 6) AS price, created_at,
         sale_date AS event_date FROM sales""",
 }

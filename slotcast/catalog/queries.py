@@ -34,7 +34,7 @@ from slotcast.sources import events as event_source, results as results_source
 from slotcast.schemas import MENU_CSV
 from slotcast.sources.dims import read_dims_csv, read_dims_yaml, write_csv
 from slotcast.sources.tables import overwrite_table, scan_store_predictions
-from slotcast.streaming import streams
+from slotcast.streaming import quality as stream_tests, streams
 from slotcast.streaming.inventory import stream_inventory as inventory_of_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,7 +142,7 @@ def _plan(spark: SparkSession, sf: str, **options) -> DataFrame:
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     slots = _slots(spark, sf)
     return features.training_features(
-        slots, profiles.profile_of_slots(slots), m.stores(spark), m.weather(spark)
+        slots, profiles.profile_of_slots(slots), m.stores(spark), m.weather(spark, sf)
     )
 
 
@@ -340,7 +340,8 @@ def replenishment(spark, sf):
 
 @query
 def store_item_slot_grid(spark, sf):
-    return plan.store_item_slot_grid(m.stores(spark), m.menu(spark), _today(spark, sf))
+    """The grid of the whole chain, which grows with the suppliers."""
+    return plan.store_item_slot_grid(m.chain(spark, sf), m.menu(spark), _today(spark, sf))
 
 
 @query
@@ -378,7 +379,7 @@ def zero_prediction(spark, sf):
 @query
 def attach_weather(spark, sf):
     """Slot sales under the weather of the last day, per region."""
-    last = m.weather(spark).filter(F.col("sale_date") == _today(spark, sf))
+    last = m.weather(spark, sf).filter(F.col("sale_date") == _today(spark, sf))
     return plan.attach_weather(profiles.slot_sales(m.sales(spark, sf)), m.stores(spark), last).select(
         "store_id", "item_id", "sale_date", "slot_index", "temp_f", "precip"
     )
@@ -555,7 +556,7 @@ def production_plan_model(spark, sf):
     """
     model = _stored_model(spark, sf)
     vocab = forecast.known_items(model, _profile(spark, sf))
-    weather = m.weather(spark).filter(F.col("sale_date") == _today(spark, sf))
+    weather = m.weather(spark, sf).filter(F.col("sale_date") == _today(spark, sf))
     planned = _plan(
         spark, sf, model=lambda df: ml.predict_warm(model, df), vocab=vocab, weather_by_region=weather
     )
@@ -622,7 +623,7 @@ def classify_weather_days(spark, sf):
     days = profiles.store_dates(m.sales(spark, sf)).join(m.stores(spark), "store_id")
     bucket = classify_weather("temp_f", "precip").alias("bucket")
     return (
-        days.join(m.weather(spark), ["region", "sale_date"])
+        days.join(m.weather(spark, sf), ["region", "sale_date"])
         .groupBy(bucket)
         .agg(F.count(F.lit(1)).alias("store_days"))
     )
@@ -635,7 +636,7 @@ def cumulative(spark, sf):
 
 @query
 def weather_impact(spark, sf):
-    return scoring.weather_impact(m.store_days(spark, sf), m.stores(spark), m.weather(spark))
+    return scoring.weather_impact(m.store_days(spark, sf), m.stores(spark), m.weather(spark, sf))
 
 
 @query
@@ -645,7 +646,7 @@ def weather_multiplier_days(spark, sf):
     return (
         daily.join(m.menu(spark).select("item_id", "category"), "item_id")
         .join(m.stores(spark).select("store_id", "region"), "store_id")
-        .join(m.weather(spark), ["region", "sale_date"])
+        .join(m.weather(spark, sf), ["region", "sale_date"])
         .groupBy("region", "sale_date", "category")
         .agg(
             F.sum("sale_quantity").alias("units"),
@@ -809,7 +810,7 @@ def waste_percentage_csv_dims(spark, sf):
     columns = [f.name for f in MENU_CSV]
     write_csv(m.menu(spark).withColumn("sale_days", days).select(*columns), f"{folder}/menu_items.csv")
     write_csv(m.stores(spark), f"{folder}/stores.csv")
-    write_csv(m.weather(spark), f"{folder}/weather_daily.csv")
+    write_csv(m.weather(spark, sf), f"{folder}/weather_daily.csv")
     menu = read_dims_csv(spark, folder)["menu_items"]
     return waste_ops.waste_percentage(
         _named_text(m.waste(spark, sf)), _named_text(m.sales(spark, sf)), menu
@@ -883,7 +884,7 @@ def marts(spark, sf):
     """Rows of every stored mart."""
     folder = new_folder(spark, "marts")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS MARTS LOCATION '{folder}'")
-    built = build_marts(spark, m.logs(spark, sf), m.dims(spark))
+    built = build_marts(spark, m.logs(spark, sf), m.dims(spark, sf))
     counts = [
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("mart"), "n_rows")
         for name, df in built.items()
@@ -967,6 +968,25 @@ def stream_append_logs(spark, sf):
     return _daily_units(spark, f"{folder}/out")
 
 
+@query
+def stream_quality(spark, sf):
+    """The tests of the sales log, observed on a stream of its days and added up over the batches."""
+    folder = new_folder(spark, "tested")
+    sales = m.raw_sales(spark, sf)
+    days = sales.withColumn("day", F.to_date("created_at"))
+    days.repartitionByRange("day").drop("day").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(sales.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    name = folder.rsplit("/", 1)[1]
+    tested = stream_tests.observed(
+        stream, name, ["store_id", "item_id", "quantity", "price", "created_at"], {"quantity": 1, "price": 10.0}, "created_at"
+    )
+    tests = stream_tests.BatchTests(spark, name, f"{folder}/tests")
+    sink = streams.file_sink(tested, f"{folder}/out", f"{folder}/checkpoint").trigger(availableNow=True)
+    stream_tests.finish_tested(stream_tests.start_tested(sink, tests), tests)
+    now = m.log(spark, sf).agg(F.max("created_at"))
+    return stream_tests.totals(stream_tests.read_batches(spark, f"{folder}/tests"), now)
+
+
 @query
 def stream_inventory(spark, sf):
     """Units requested and cooked in the closed ticks, and units that are not accounted for."""

@@ -200,11 +200,11 @@ def test_a_plan_that_loses_rows_is_not_published(spark, fitted, tmp_path, monkey
     marts = {"baseline_profile": profile, "cold_start_profile": cold, "traffic_ratio": ratio}
     day = F.lit("2024-01-30").cast("date")
     spark.sql(f"CREATE SCHEMA published LOCATION '{tmp_path}/published'")
-    forecast.publish_plan(marts, m.dims(spark), day, model, "published.plan")
+    forecast.publish_plan(marts, m.dims(spark, PLAN_SF), day, model, "published.plan")
     n = spark.table("published.plan").count()
     assert n > 1_000
     with monkeypatch.context() as patched:
         patched.setattr(ml, "predict_warm", lambda model, df: predict(model, df).limit(3))
         with pytest.raises(RuntimeError, match="rows for"):
-            forecast.publish_plan(marts, m.dims(spark), day, model, "published.plan")
+            forecast.publish_plan(marts, m.dims(spark, PLAN_SF), day, model, "published.plan")
     assert spark.table("published.plan").count() == n

@@ -247,7 +247,7 @@ def test_store_scan_reaches_parquet(spark, schema, make):
 
 def test_nightly_run(spark, tmp_path):
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS MARTS LOCATION '{tmp_path}/marts'")
-    d = m.dims(spark)
+    d = m.dims(spark, SF)
     marts = build_marts(spark, m.logs(spark, SF), d)
     model, hold_out = forecast.train(marts["ml_training_features"], trees=3)
     assert forecast.evaluate(model, hold_out).first().new_mae >= 0
