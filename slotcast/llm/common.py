@@ -87,22 +87,28 @@ def by_batch(
         for batch in batches:
             if batch.num_rows:
                 yield one(batch)
+                pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_BATCH_ROWS = 2_000  # whole texts, of which a worker holds a batch as it comes, as strings, and as results
+#: Spark's own limits of an Arrow batch, and those for whole texts, of which a worker holds a batch as it
+#: comes, as strings and as results, and the executor one in its own buffers.
+_BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m"),
+}
 
 
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the columns an operator reads, under its own names, so that others cannot clash.
 
-    Where the session still has Spark's own number of rows to an Arrow batch, it is lowered for texts.
+    Where the session still has Spark's own limits of an Arrow batch, they are lowered for texts.
     """
     conf = docs.sparkSession.conf
-    if conf.get(_BATCH) == "10000":
-        conf.set(_BATCH, str(_BATCH_ROWS))
+    for name, (own, lower) in _BATCH.items():
+        if conf.get(name) == own:
+            conf.set(name, lower)
     return docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),

@@ -53,7 +53,7 @@ class Ids:
     The tables are bounded by bytes and belong to one task.
     """
 
-    def __init__(self, tokenizer, memory: int = 40 << 20):
+    def __init__(self, tokenizer, memory: int = 24 << 20):
         self.tokenizer = tokenizer
         self.bpe = tokenizer.model
         self.letters = _byte_letters()
@@ -109,7 +109,7 @@ def cut_pieces(
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             docs, texts, parts = batch.column("doc_id"), texts_of(batch), []
-            for a, b in text_runs(texts):
+            for a, b in text_runs(texts, 500_000):
                 ids, n = known.of_all(texts[a:b], end)
                 pieces = -(-n // window)
                 doc = np.repeat(np.arange(b - a), pieces)
