@@ -1,14 +1,15 @@
 """Main text of web pages by tag-path ratios (operator 5).
 
-1. A page is read once into text blocks, each with its root-to-leaf path of tags. Paths inside what
-   cannot be article text (scripts, navigation, forms, elements named like adverts or comments) are
-   set aside on the way.
+1. A page is read once into text blocks, each with its root-to-leaf path of elements, told by tag, classes
+   and id. Only what cannot be article text is set aside on the way: scripts, styles, form controls,
+   hidden elements.
 2. For every path, text length and punctuation are summed over its blocks and divided by their
    number, less the share of linked text: the ratio of the path.
-3. Ratios are smoothed over paths with the same parent, fused with the parents that hold them, and
-   the container is found: the deepest path that holds nearly all of the weight.
-4. Paths under the container whose fused ratio passes a threshold, which headings, list items and
-   short paragraphs pass through their neighbours and parents, give the text, in page order.
+3. Ratios are summed over the blocks below every element, and fused: a path has its own ratio or a part of
+   the sum below an element that holds it, less for each level between, whichever is more. So headings,
+   list items and short paragraphs pass through their neighbours. Names of menus, adverts or comments
+   are evidence, not a verdict: they lessen a path's ratio to a tenth.
+4. Paths whose fused ratio reaches a share of the page's best one give the text, in page order.
 """
 
 from __future__ import annotations
@@ -41,9 +42,9 @@ _INLINE = set(
     "strike strong sub sup time tt u var wbr".split()
 )
 _OUT = set(
-    "head nav footer aside form button select option input dialog menu svg canvas object audio video map "
-    "fieldset datalist".split()
+    "head form button select option input dialog menu svg canvas object audio video map fieldset datalist".split()
 ) | _RAW
+_FLOW = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 _CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -71,32 +72,43 @@ _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _SIGNS = re.compile(r"[.,;:!?…。，！？]")
 
 
-def _unwanted(tag: str, attributes: str, path: list) -> bool:
-    if tag in _OUT:
+def _hidden(tag: str, attributes: list[tuple[str, str]]) -> bool:
+    """Whether nothing in the element can be article text."""
+    return tag in _OUT or any(
+        name == "hidden"
+        or (name == "aria-hidden" and value == "true")
+        or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+        for name, value in attributes
+    )
+
+
+def _named(tag: str, attributes: list[tuple[str, str]], inside: bool) -> bool:
+    """Whether tag, class, id or role name what surrounds an article; ``inside``: one is open."""
+    if tag in ("nav", "footer", "aside") or (tag == "header" and not inside):
         return True
-    if tag == "header":
-        return not any(t in ("article", "main") for t, _ in path)
-    if not attributes or tag in ("html", "body"):
+    if tag in ("html", "body", "main"):
         return False
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), a or b or c
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id", "role", "itemprop") and tag != "main":
-            own = any(t in ("article", "main") for t, _ in path)
+    for name, value in attributes:
+        if name in ("class", "id", "role", "itemprop"):
             for part in value.split():
                 words = [x.lower() for x in _SPLIT.split(part) if x]
                 if not words or words[0] in _STATES or words[-1] in ("layout", "enabled", "page"):
                     continue  # says something of the page, as in "with-sidebar"
-                if any(w in _NAMES and not (own and w == "header") for w in [*words, "".join(words)]):
+                if any(w in _NAMES and not (inside and w == "header") for w in [*words, "".join(words)]):
                     return True
     return False
 
 
+def _label(tag: str, attributes: list[tuple[str, str]]) -> str:
+    """An element's step in a path: its tag, and classes and id without their numbers."""
+    if tag in ("html", "body"):
+        return tag
+    own = {re.sub(r"\d+", "", part) for name, value in attributes if name in ("class", "id") for part in value.split()}
+    return ".".join([tag, *sorted(own)])
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
-    """(path, text, linked code points, boilerplate) of each text block, in page order.
+    """(path, text, linked code points, named as what is not the article) of each text block, in page order.
 
     White space is one blank, character references are decoded, markup errors are mended the way
     browsers do: an open paragraph ends at the next block, an unknown end tag is nothing.
@@ -107,10 +119,10 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         nonlocal parts, linked
         if parts:
             text = " ".join("".join(parts).split())
-            if text:
+            if text and not any(hidden for _, _, _, hidden in path):
                 # the leaf is the innermost block element: inline tags do not make a path of their own
-                tags = tuple(t for t, _ in path if t not in _INLINE)
-                out.append((tags, text, linked, any(bad for _, bad in path)))
+                steps = tuple(label for t, label, _, _ in path if t not in _INLINE)
+                out.append((steps, text, linked, any(named for _, _, named, _ in path)))
         parts, linked = [], 0
 
     def add(raw: str) -> None:
@@ -118,7 +130,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if any(t == "a" for t, _ in path):
+            if any(e[0] == "a" for e in path):
                 linked += len(text.strip())
 
     def close(tags: set[str], scopes: set[str]) -> None:
@@ -140,12 +152,12 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
         ending, tag = m.group(1), m.group(2) or m.group(4)
         if ending:
             ending = ending.lower()
-            if ending == "p" and not any(t == "p" for t, _ in path):
+            if ending == "p" and not any(e[0] == "p" for e in path):
                 end_block()
                 continue
             for i in range(len(path) - 1, -1, -1):
                 if path[i][0] == ending:
-                    if any(t not in _INLINE for t, _ in path[i:]):
+                    if any(e[0] not in _INLINE for e in path[i:]):
                         end_block()
                     del path[i:]
                     break
@@ -176,66 +188,50 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, bool]]:
                 close(_CLOSES[tag], {"ul", "ol", "dl", "table", "select"} if tag != "td" else {"table"})
         if attributes.rstrip().endswith("/") and tag not in _SCOPES and tag not in _ENDS_P:
             continue
-        bad = _unwanted(tag, attributes, path)
-        if bad and tag in _INLINE:
+        told = [(name.lower(), a or b or c) for name, a, b, c in _ATTRIBUTE.findall(attributes)]
+        hidden = _hidden(tag, told)
+        named = _named(tag, told, any(e[0] in ("article", "main") for e in path))
+        if (hidden or named) and tag in _INLINE:
             end_block()
-        path.append((tag, bad))
+        path.append((tag, _label(tag, told), named, hidden))
     end_block()
     return out
 
 
-def content(page: str, threshold: float = 0.02, hold: float = 0.8) -> str:
-    """The main text of a page, blocks joined by one blank; empty if there is none."""
-    found = [b for b in blocks(page) if not b[3]]
-    if not found:
-        return ""
+def ratios(found: list[tuple]) -> dict[tuple, float]:
+    """The fused ratio of every path of a page's blocks."""
     sums = defaultdict(lambda: [0, 0, 0, 0])
-    for path, text, linked, _ in found:
-        s = sums[path]
+    for path, text, linked, named in found:
+        s = sums[path, named]
         s[0] += len(text)
         s[1] += len(_SIGNS.findall(text))
         s[2] += linked
         s[3] += 1
-    ratio = {p: (s[0] + 10 * s[1]) / s[3] * max(0.0, 1 - s[2] / s[0]) for p, s in sums.items()}
-    # smooth: half its own, half the mean over the paths under the same parent, by their text
-    family = defaultdict(lambda: [0.0, 0])
-    for p, r in ratio.items():
-        family[p[:-1]][0] += r * sums[p][0]
-        family[p[:-1]][1] += sums[p][0]
-    smooth = {p: 0.5 * r + 0.5 * family[p[:-1]][0] / family[p[:-1]][1] for p, r in ratio.items()}
-    # fuse: every ancestor holds the weight of its paths; an article or main element counts as found
-    weight = defaultdict(float)
-    for p, r in smooth.items():
-        for i in range(len(p) + 1):
-            weight[p[:i]] += r * sums[p][3]
-    total = weight[()]
-    if not total:
-        return ""
-    named = [p for p in weight if p and p[-1] in ("article", "main") and weight[p] >= 0.1 * total]
-    if named:
-        inner = [p for p in named if p[-1] == "article"] or named
-        root = min(inner, key=lambda p: (len(p), -weight[p]))
-    else:
-        held = [p for p in weight if weight[p] >= hold * total and not (p and p[-1] in ("p", "li", "td"))]
-        root = max(held, key=lambda p: (len(p), weight[p]))
-    # a path takes over half of its parent's mean for each level, less its share of linked text, so
-    # that short list items and cells of an article stay and lists of links do not
-    means = defaultdict(lambda: [0.0, 0])
-    inside = [p for p in smooth if p[: len(root)] == root]
-    for p in inside:
-        for i in range(len(root), len(p) + 1):
-            means[p[:i]][0] += smooth[p] * sums[p][0]
-            means[p[:i]][1] += sums[p][0]
-    fused = {
-        p: max(
-            max(0.0, 1 - sums[p][2] / sums[p][0]) * 0.5 ** (len(p) - i) * means[p[:i]][0] / means[p[:i]][1]
-            for i in range(len(root), len(p) + 1)
-        )
-        for p in inside
-    }
-    least = threshold * max(fused.values())
-    kept = {p for p in inside if fused[p] >= least and fused[p] > 0}
-    return " ".join(text for path, text, _, _ in found if path in kept)
+    trust = {p: max(0.0, 1 - s[2] / s[0]) * (0.1 if p[1] else 1.0) for p, s in sums.items()}
+    own = {p: (s[0] + 10 * s[1]) / s[3] * trust[p] for p, s in sums.items()}
+    # smooth: what all blocks weigh that lie below an element
+    below = defaultdict(float)
+    for p, r in own.items():
+        for i in range(1, len(p[0])):
+            below[p[0][:i]] += r * sums[p][3]
+    fused = {}
+    for p, r in own.items():
+        path, best = p[0], r
+        for i in range(1, len(path)):
+            # the page as a whole holds anything, so it speaks only for plain blocks right below it
+            if path[i - 1] in ("html", "body") and not (i == len(path) - 1 and path[i] in _FLOW):
+                continue
+            best = max(best, trust[p] * below[path[:i]] * 0.8 ** (len(path) - 1 - i))
+        fused[p] = best
+    return fused
+
+
+def content(page: str, threshold: float = 0.4) -> str:
+    """The main text of a page, blocks joined by one blank; empty if there is none."""
+    found = blocks(page)
+    fused = ratios(found)
+    least = threshold * max(fused.values(), default=0.0)
+    return " ".join(text for path, text, _, named in found if fused[path, named] >= least and fused[path, named] > 0)
 
 
 def extract(
