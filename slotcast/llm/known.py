@@ -38,25 +38,28 @@ class Known(dict):
 
 
 def joined_ids(
-    split: pa.ListArray, ids_of: Callable[[str], bytes], end: bytes, first: list[bytes] | None = None
+    split: pa.ListArray,
+    ids_of: Callable[[pa.StringArray], tuple[np.ndarray, np.ndarray, np.ndarray]],
+    end: bytes,
+    first: list[bytes] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Ids of texts that Arrow has split into words, each text followed by ``end``, and the number of each.
 
-    Arrow numbers the distinct words, and only these are looked up. ``first`` are the ids of the texts'
+    Arrow numbers the distinct words; ``ids_of`` gives their ids, and start and number of each word's. ``first`` are the ids of the texts'
     first words, where these differ from the same words further on.
     """
     bounds = split.offsets.to_numpy().astype(np.int64)
     numbered = split.values.dictionary_encode()
-    words = list(map(ids_of, numbered.dictionary.to_pylist()))
+    flat, starts, sizes = ids_of(numbered.dictionary)
     codes = numbered.indices.to_numpy().astype(np.int64)
+    more = [*(first or []), end]
     if first is not None:
-        codes[bounds[:-1]] = len(words) + np.arange(len(first))
-        words += first
-    codes = np.insert(codes, bounds[1:], len(words))
-    words.append(end)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) // 4
-    flat = np.frombuffer(b"".join(words), np.uint32)
-    starts = np.cumsum(sizes) - sizes
+        codes[bounds[:-1]] = len(sizes) + np.arange(len(first))
+    codes = np.insert(codes, bounds[1:], len(sizes) + len(more) - 1)
+    extra = np.fromiter(map(len, more), np.int64, len(more)) // 4
+    starts = np.r_[starts, len(flat) + np.cumsum(extra) - extra]
+    sizes = np.r_[sizes, extra]
+    flat = np.concatenate([flat, np.frombuffer(b"".join(more), np.uint32)])
     n = sizes[codes]
     before = np.cumsum(n) - n
     ids = flat[np.repeat(starts[codes] - before, n) + np.arange(n.sum())]

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from slotcast.llm.common import by_batch, narrow, stage, table, texts_of
 from slotcast.llm.known import Known, joined_ids, text_runs
+from slotcast.llm.merges import Merges, Words, byte_letters
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -37,28 +38,24 @@ _SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ \\n\\t\\r]*").fullmatch
 _WORDS = re.compile(f"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^{_LETTERS}0-9\\s]+").findall
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that a byte-level vocabulary uses for each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
-
-
 class Ids:
     """Ids of whole texts as little-endian 32-bit integers, through bounded tables of known words.
 
     White space separates words in this vocabulary and is dropped, so a text's ids are those of
-    its chunks between blanks and line ends. A chunk of plain letters, digits and signs is cut into
-    words here, which the tokenizer's own merges turn into ids; any other goes to the tokenizer whole.
+    its chunks between blanks and line ends. The distinct plain chunks of some texts are cut and merged
+    together (:class:`Words`); of others, one of simple characters is cut into words here, and any
+    other goes to the tokenizer whole.
     The tables are bounded by bytes and belong to one task.
     """
 
-    def __init__(self, tokenizer, memory: int = 24 << 20):
+    def __init__(self, tokenizer, memory: int = 24 << 20, merges: Merges | None = None):
         self.tokenizer = tokenizer
         self.bpe = tokenizer.model
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
+        self.merges = merges or Merges(tokenizer.to_str(), self.bpe)
         self.words = Known(self._word, memory // 2)
         self.chunks = Known(self._chunk, memory // 2)
+        self.plain = Words(self.merges, self.chunks.__getitem__, blank=False, lower=True, digits=True)
 
     def _word(self, word: str) -> bytes:
         spelled = word.encode().decode("latin-1").translate(self.letters)
@@ -75,17 +72,18 @@ class Ids:
     def of_all(self, texts: list[str], end: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of each."""
         split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
-        return joined_ids(split, self.chunks.__getitem__, end)
+        return joined_ids(split, self.plain, end)
 
 
 @lru_cache(maxsize=1)
 def _tokenizer(model: str):
-    """Kept by a Python worker between its tasks: of the vocabulary's fixed size."""
+    """Tokenizer and merges, kept by a Python worker between its tasks: of the vocabulary's fixed size."""
     from tokenizers import Tokenizer
 
     if array("I").itemsize != 4 or sys.byteorder != "little":
         raise RuntimeError("ids are written as this machine's 32-bit little-endian integers")
-    return Tokenizer.from_str(model)
+    tokenizer = Tokenizer.from_str(model)
+    return tokenizer, Merges(model, tokenizer.model)
 
 
 def cut_pieces(
@@ -105,11 +103,12 @@ def cut_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def make():
-        known = Ids(_tokenizer(shared.value))
+        tokenizer, merges = _tokenizer(shared.value)
+        known = Ids(tokenizer, merges=merges)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             docs, texts, parts = batch.column("doc_id"), texts_of(batch), []
-            for a, b in text_runs(texts, 500_000):
+            for a, b in text_runs(texts, 1_000_000):
                 ids, n = known.of_all(texts[a:b], end)
                 pieces = -(-n // window)
                 doc = np.repeat(np.arange(b - a), pieces)

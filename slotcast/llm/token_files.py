@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from slotcast.llm.common import narrow, scratch, shuffle_partitions, table, texts_of
 from slotcast.llm.known import Known, joined_ids, text_runs
+from slotcast.llm.merges import Merges, Words, byte_letters
 
 ROWS = "doc_id long, shard int, first long, n_tokens long, tokens array<int>"
 SHARDS = "shard int, base long, n_tokens long, n_docs long, first_doc long, last_doc long"
@@ -46,24 +47,17 @@ _PRETOKENS = re.compile(
 ).findall
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that a byte-level vocabulary uses for each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
-
-
 class Encoder:
     """Ids of whole texts as 32-bit little-endian bytes, for a byte-level vocabulary that splits by its
     usual pattern.
 
     A blank between two other characters always starts a new pre-token, so the ids of a text are those of
-    its words, each with the blank before it. Words and pre-tokens met before come from bounded tables; a
-    word of plain characters is cut here and merged by the tokenizer's own model, any other word
-    goes to the tokenizer whole.
+    its words, each with the blank before it. The distinct plain words of some texts are cut and merged
+    together (:class:`Words`). Other words come from bounded tables of what was met before, where a
+    word of simple characters is cut here and any other goes to the tokenizer whole.
     """
 
-    def __init__(self, model: str, memory: int = 96 << 20):
+    def __init__(self, model: str, memory: int = 32 << 20):
         import regex
         from tokenizers import Tokenizer
 
@@ -76,9 +70,11 @@ class Encoder:
             raise ValueError("special tokens are told by their first two signs, and hold no blank")
         self.blanks = regex.compile(r"\s\s").search
         self.words_of = regex.compile(r"(?<=\S) (?=\S)").split
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
+        self.merges = Merges(model, self.bpe)
         self.pretokens = Known(self._pretoken, memory // 4)
         self.after_blank = Known(self._after_blank, memory - memory // 4)
+        self.plain = Words(self.merges, self.after_blank.__getitem__, blank=True, lower=False, digits=False)
 
     def _pretoken(self, text: str) -> bytes:
         spelled = text.encode().decode("latin-1").translate(self.letters)
@@ -103,14 +99,13 @@ class Encoder:
             first, *words = text.split(" ")
         return (self._word(first) if first else b"") + b"".join(map(self.after_blank.__getitem__, words))
 
-
     def of_all(self, texts: list[str], end: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of each."""
         whole = [bool(self.blanks(t)) for t in texts]
         split = pc.split_pattern(pa.array([("" if w else t) for t, w in zip(texts, whole)], pa.string()), " ")
         # Words at the start have no blank before them; a text with runs of white space is one word here.
         first = [self.of(t) if w else self._word(t.partition(" ")[0]) if t else b"" for t, w in zip(texts, whole)]
-        return joined_ids(split, self.after_blank.__getitem__, end, first)
+        return joined_ids(split, self.plain, end, first)
 
 
 @lru_cache(maxsize=1)
