@@ -13,6 +13,9 @@
 
 Every link is confirmed on full sets. Sets of hub and members meet in blocks of bounded size, so a
 hub with many members is spread over tasks. Links, components and sketches stay in tables.
+
+Nothing that grows with the input is broadcast: tables meet by a merge join, and texts are first
+sieved by a bitmap over hashes of the wanted ids that has a fixed largest size.
 """
 
 from __future__ import annotations
@@ -22,17 +25,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import by_batch, narrow, shuffle_partitions, stage, table, texts_of
+from slotcast.llm.common import by_batch, by_merge, narrow, shuffle_partitions, stage, table, texts_of
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 #: Members of a block, of which each has the hub's set once.
 BLOCK = 512
-#: Ids in a broadcast list, of 8 bytes each; beyond it the join shuffles.
-LISTED = 1_000_000
+#: Entries of a broadcast list, which take up to 200 bytes each in the driver and every executor.
+LISTED = 20_000
+#: Pages of a sieve, of 4 KB each, and bits for each id as long as the pages suffice.
+PAGES, PAGE_BITS, SPARSE = 1024, 8 * 4096, 16
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 SKETCH = "doc_id long, n_shingles long, key_hi long, key_lo long, bands array<long>"
@@ -114,10 +119,39 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
     return by_batch(docs, make, SKETCH)
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Join ``docs`` to ``ids`` by doc_id; the ids are broadcast when they are few, by count."""
-    few = ids.count() <= LISTED
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id")
+def _sieve(ids: DataFrame, count: int) -> DataFrame:
+    """(page, bits): a bitmap of hashes of the ids; its pages have a fixed largest number."""
+    pages = min(PAGES, 1 + count * SPARSE // PAGE_BITS)
+    page, bit = _place(pages)
+    bits = ids.select(page.alias("sieve_page"), bit.alias("bit")).repartition("sieve_page")
+    return bits.groupBy("sieve_page").agg(F.bitmap_construct_agg("bit").alias("sieve_bits"))
+
+
+def _place(pages: int) -> tuple[Column, Column]:
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(pages * PAGE_BITS))
+    return F.floor(at / PAGE_BITS), at.bitwiseAND(F.lit(PAGE_BITS - 1))
+
+
+def _sieved(docs: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """``docs`` with ``maybe_listed``, which is true for all ``count`` ids and for few others."""
+    page, bit = _place(min(PAGES, 1 + count * SPARSE // PAGE_BITS))
+    byte = F.conv(F.hex(F.substring("sieve_bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10)
+    found = F.getbit(byte.cast("int"), bit.bitwiseAND(F.lit(7)).cast("int")) == 1
+    sieve = F.broadcast(_sieve(ids, count))
+    return docs.join(sieve, page == F.col("sieve_page"), "left").select(
+        *docs.columns, F.coalesce(found, F.lit(False)).alias("maybe_listed")
+    )
+
+
+def _only(docs: DataFrame, ids: DataFrame, entries: int) -> DataFrame:
+    """Join ``docs`` to staged ``ids`` by doc_id; these are broadcast if they have few ``entries`` in all.
+
+    Beyond that, the texts that pass the sieve move, and the others stay.
+    """
+    if entries <= LISTED:
+        return docs.join(F.broadcast(ids), "doc_id")
+    sieved = _sieved(docs, ids.select("doc_id"), ids.count())
+    return sieved.where("maybe_listed").drop("maybe_listed").join(by_merge(ids), "doc_id")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -127,7 +161,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     """
     spark = docs.sparkSession
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    placed = pairs.join(blocks, "a").select(
+    placed = pairs.join(by_merge(blocks), "a").select(
         "a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("blocks"))).alias("block")
     )
     placed = stage(placed, "placed")
@@ -136,6 +170,8 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
         placed.select(F.col("b").alias("doc_id"), "block", F.lit(False).alias("hub"), "a")
     )
     wanted = roles.groupBy("doc_id").agg(F.collect_list(F.struct("block", "hub", "a")).alias("roles"))
+    wanted = stage(wanted, "wanted")
+    entries = wanted.agg(F.sum(F.size("roles"))).first()[0] or 0
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["block", "hub", "a", "b", "hashes"]
@@ -175,7 +211,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
                 yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "both", "link"])
 
     met = (
-        _only(docs, stage(wanted, "wanted"))
+        _only(docs, wanted, entries)
         .mapInArrow(sets, "block long, hub boolean, a long, b long, hashes binary")
         .repartition(shuffle_partitions(spark), "block")
         .sortWithinPartitions("block", "a", F.desc("hub"))
@@ -197,13 +233,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = stage(both.groupBy(F.col("u").alias("doc_id")).agg(F.least("doc_id", F.min("v")).alias("comp")), "labels")
     while True:
         near = (
-            both.join(labels.withColumnRenamed("doc_id", "v"), "v")
+            both.join(by_merge(labels.withColumnRenamed("doc_id", "v")), "v")
             .groupBy(F.col("u").alias("doc_id"))
             .agg(F.min("comp").alias("near"))
         )
-        lower = labels.join(near, "doc_id").select("doc_id", F.least("comp", "near").alias("to"), F.col("comp").alias("was"))
+        lower = labels.join(by_merge(near), "doc_id").select("doc_id", F.least("comp", "near").alias("to"), F.col("comp").alias("was"))
         heads = labels.select(F.col("doc_id").alias("to"), F.col("comp").alias("head"))
-        new = lower.join(heads, "to").select("doc_id", F.least("to", "head").alias("comp"), "was")
+        new = lower.join(by_merge(heads), "to").select("doc_id", F.least("to", "head").alias("comp"), "was")
         new = stage(new, "labels")
         if new.where("comp <> was").isEmpty():
             return new.select("doc_id", "comp")
@@ -211,7 +247,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    return rows.join(comps, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    return rows.join(by_merge(comps), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -220,7 +256,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
     several = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("size", "comp")).alias("main")
     )
-    return rows.join(several.where("comps > 1").select("bucket", "main"), "bucket")
+    return rows.join(by_merge(several.where("comps > 1").select("bucket", "main")), "bucket")
 
 
 def _shared(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -234,7 +270,7 @@ def _shared(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
         return one
 
-    sets = by_batch(_only(docs, ids), make, "doc_id long, hashes array<long>")
+    sets = by_batch(_only(docs, ids, ids.count()), make, "doc_id long, hashes array<long>")
     once = (
         sets.select("doc_id", F.explode("hashes").alias("hash"))
         .groupBy("hash")
@@ -270,7 +306,7 @@ def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
         & ~F.arrays_overlap(*before)
     )
     ends = F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")
-    return one.join(two, fits).select(*ends).distinct()
+    return one.join(by_merge(two), fits).select(*ends).distinct()
 
 
 def near_duplicates(
@@ -287,17 +323,18 @@ def near_duplicates(
     known = stage(sketches(docs, words), "sketches")
     able = known.where("n_shingles > 0 and doc_id is not null")
     classes = able.groupBy("key_hi", "key_lo").agg(F.min("doc_id").alias("rep"))
-    classed = able.join(classes, ["key_hi", "key_lo"])
+    classed = able.join(by_merge(classes), ["key_hi", "key_lo"])
     members = stage(classed.select("doc_id", "rep").distinct(), "members")
     reps = stage(
         classed.where("doc_id = rep").select("doc_id", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["doc_id", "n"]),
         "reps",
     )
-    rows = reps.select("doc_id", "n", F.posexplode("bands").alias("band", "bucket"))
+    exploded = F.posexplode("bands").alias("band", "bucket")
+    rows = reps.select("doc_id", "n", exploded)
 
     hubs = rows.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
     star = stage(
-        rows.join(hubs, "bucket")
+        rows.join(by_merge(hubs), "bucket")
         .where("doc_id <> a")
         .groupBy("a", F.col("doc_id").alias("b"))
         .agg(F.count(F.lit(1)).alias("shared")),
@@ -312,7 +349,7 @@ def near_duplicates(
     comps = components(links)
 
     seen = best
-    more = star.join(seen, ["a", "b"], "left_anti").select("a", "b")
+    more = star.join(by_merge(seen), ["a", "b"], "left_anti").select("a", "b")
     more = _across(more, comps)
     found = stage(more, "more")
     if not found.isEmpty():
@@ -320,28 +357,30 @@ def near_duplicates(
         seen = seen.unionByName(found)
         comps = components(links)
 
-    rest = stage(_mixed(_with_components(rows, comps)).drop("main"), "mixed")
+    rows = _with_components(reps, comps).select("doc_id", "n", exploded, "comp")
+    rest = stage(_mixed(rows).drop("main"), "mixed")
     stars = checked.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), F.col("both").alias("hub_both"))
     near = rest.select("doc_id").distinct()
-    near = near.unionByName(near.join(stars, "doc_id").select(F.col("hub").alias("doc_id"))).distinct()
+    near = near.unionByName(near.join(by_merge(stars), "doc_id").select(F.col("hub").alias("doc_id"))).distinct()
     lone = F.coalesce("lone", F.lit(0))
     rest = (
-        rest.join(_shared(docs, stage(near, "mixed-ids"), words), "doc_id", "left")
+        rest.join(by_merge(_shared(docs, stage(near, "mixed-ids"), words)), "doc_id", "left")
         .withColumn("common", F.col("n") - lone)
         .where(100 * F.col("common") >= percent * F.col("n"))
-        .join(stars, "doc_id", "left")  # the hub is among ``near``, so it has no lone shingle of another
+        .join(by_merge(stars), "doc_id", "left")  # the hub is among ``near``, so it has no lone shingle of another
         .withColumn("hub", F.coalesce("hub", "doc_id"))
         .withColumn("hub_both", F.coalesce("hub_both", "n"))
         .withColumn("other", F.greatest(F.col("common") - F.col("hub_both"), F.lit(0)))
         .drop("lone")
     )
-    rest = stage(_mixed(rest), "able").join(reps.select("doc_id", "bands").dropDuplicates(["doc_id"]), "doc_id")
-    pairs = _pairs_across(rest, percent).join(seen, ["a", "b"], "left_anti")
+    bands = reps.select("doc_id", "bands").dropDuplicates(["doc_id"])
+    rest = stage(_mixed(rest), "able").join(by_merge(bands), "doc_id")
+    pairs = _pairs_across(rest, percent).join(by_merge(seen), ["a", "b"], "left_anti")
     pairs = stage(pairs, "pairs")
     if not pairs.isEmpty():
         links = links.unionByName(confirm(docs, pairs, words, percent).where("link").select("a", "b"))
     comps = components(links.unionByName(same))
-    return known.join(comps, "doc_id", "left").select(
+    return known.join(by_merge(comps), "doc_id", "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("comp", "doc_id").alias("component_id"),
@@ -353,7 +392,7 @@ def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs whose ends lie in different components."""
     a = comps.select(F.col("doc_id").alias("a"), F.col("comp").alias("c_a"))
     b = comps.select(F.col("doc_id").alias("b"), F.col("comp").alias("c_b"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
+    joined = pairs.join(by_merge(a), "a", "left").join(by_merge(b), "b", "left")
     return joined.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
@@ -362,7 +401,7 @@ def remove_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -
     known = near_duplicates(docs, words, percent)
     gone = stage(known.where("not kept").select("doc_id").distinct(), "gone")
     few = gone.count() <= LISTED
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(F.broadcast(gone) if few else by_merge(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
+from slotcast.llm import near_dups
 from slotcast.llm.near_dups import BINS, _borrow_order, band_keys, near_duplicates, remove_near_duplicates, shingles
 
 
@@ -96,3 +97,43 @@ def test_sketch_estimates_likeness():
 
 def test_long_and_short_texts():
     assert len(shingles("")) == 0 and len(shingles("a b")) == 1 and len(shingles("a " * 100000)) == 1
+
+
+def broadcasts(df):
+    """Lines of the joins of a plan that broadcast a side."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if re.search("Broadcast(HashJoin|NestedLoop)", line)]
+
+
+def test_only_sieves_are_broadcast_beyond_short_lists(spark, monkeypatch):
+    rows = fixture()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found, stage = [], near_dups.stage
+    monkeypatch.setattr(near_dups, "stage", lambda df, name: found.extend((name, x) for x in broadcasts(df)) or stage(df, name))
+    monkeypatch.setattr(near_dups, "LISTED", 0)
+    out = near_duplicates(df)
+    assert {tuple(r) for r in out.collect()} == brute(rows)
+    left = remove_near_duplicates(df)
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(k for k, _, _, kept in brute(rows) if kept)
+    found += [("end", x) for x in broadcasts(out) + broadcasts(left)]
+    assert found and [x for x in found if "sieve_page" not in x[1]] == []
+
+
+def test_list_of_few_ids_with_many_entries_is_not_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)] + [(None, "none")], "doc_id long, text string")
+    ids = spark.createDataFrame([(i, list(range(200))) for i in range(0, 50, 10)], "doc_id long, roles array<long>")
+    monkeypatch.setattr(near_dups, "LISTED", 900)
+    met = near_dups._only(docs, ids, 1000)
+    assert {r["doc_id"] for r in met.collect()} == set(range(0, 50, 10)) and met.columns == ["doc_id", "text", "roles"]
+    assert all("sieve_page" in x for x in broadcasts(met))
+
+
+def test_sieve_holds_all_listed_ids_in_bounded_pages(spark):
+    docs = spark.range(400_000).withColumnRenamed("id", "doc_id").withColumn("a", F.lit("a"))
+    ids = docs.where("doc_id % 40 = 3").select("doc_id")
+    out = near_dups._sieved(docs, ids, 10_000)
+    listed = out.where("doc_id % 40 = 3 and maybe_listed").count()
+    others = out.where("doc_id % 40 <> 3 and maybe_listed").count()
+    assert listed == 10_000 and others < 0.08 * 390_000 and out.columns == ["doc_id", "a", "maybe_listed"]
+    pages = near_dups._sieve(docs.select("doc_id"), 10**12)
+    assert pages.count() == near_dups.PAGES and pages.where("octet_length(sieve_bits) <> 4096").isEmpty()
