@@ -400,8 +400,13 @@ def remove_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -
     """``docs`` without the documents that are not the smallest id of their component; all columns stay."""
     known = near_duplicates(docs, words, percent)
     gone = stage(known.where("not kept").select("doc_id").distinct(), "gone")
-    few = gone.count() <= LISTED
-    return docs.join(F.broadcast(gone) if few else by_merge(gone), "doc_id", "left_anti").select(*docs.columns)
+    count = gone.count()
+    if count <= LISTED:
+        return docs.join(F.broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
+    sieved = _sieved(docs, gone, count)
+    stay, unsure = sieved.where("not maybe_listed"), sieved.where("maybe_listed")
+    unsure = unsure.join(by_merge(gone), "doc_id", "left_anti")
+    return stay.select(*docs.columns).unionByName(unsure.select(*docs.columns))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

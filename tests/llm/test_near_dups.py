@@ -137,3 +137,13 @@ def test_sieve_holds_all_listed_ids_in_bounded_pages(spark):
     assert listed == 10_000 and others < 0.08 * 390_000 and out.columns == ["doc_id", "a", "maybe_listed"]
     pages = near_dups._sieve(docs.select("doc_id"), 10**12)
     assert pages.count() == near_dups.PAGES and pages.where("octet_length(sieve_bits) <> 4096").isEmpty()
+
+
+def test_removal_moves_only_texts_that_pass_the_sieve(spark, monkeypatch):
+    rows = [(i, f"{i} b c d e f {i // 2}") for i in range(20)] + [(20, "0 b c d e f 0"), (None, "0 b c d e f 0"), (20, "z")]
+    df = spark.createDataFrame(rows, "doc_id int, text string").withColumn("sieve", F.lit(0))
+    monkeypatch.setattr(near_dups, "LISTED", 0)
+    left = remove_near_duplicates(df)
+    assert len(broadcasts(left)) == 2 and all("sieve_page" in x for x in broadcasts(left))
+    assert left.columns == df.columns and left.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    assert Counter(r["doc_id"] for r in left.collect()) == Counter([*range(20), None])
