@@ -14,8 +14,8 @@
 Every link is confirmed on full sets. Sets of hub and members meet in blocks of bounded size, so a
 hub with many members is spread over tasks. Links, components and sketches stay in tables.
 
-Nothing that grows with the input is broadcast: tables meet by a merge join, and texts are first
-sieved by a bitmap over hashes of the wanted ids that has a fixed largest size.
+Nothing that grows with the input is broadcast: beyond a fixed number of rows tables meet by a merge
+join, and texts are first sieved by a bitmap over hashes of the wanted ids of a fixed largest size.
 """
 
 from __future__ import annotations
@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm.common import by_batch, by_merge, narrow, shuffle_partitions, stage, table, texts_of
+from slotcast.llm.common import by_batch, by_rows, narrow, shuffle_partitions, stage, table, texts_of
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 #: Members of a block, of which each has the hub's set once.
 BLOCK = 512
-#: Entries of a broadcast list, which take up to 200 bytes each in the driver and every executor.
-LISTED = 20_000
+#: Rows of a table that may be broadcast, which take up to 200 bytes each in the driver and every executor.
+LISTED = 30_000
 #: Pages of a sieve, of 4 KB each, and bits for each id as long as the pages suffice.
 PAGES, PAGE_BITS, SPARSE = 1024, 8 * 4096, 16
 
@@ -151,17 +151,17 @@ def _only(docs: DataFrame, ids: DataFrame, entries: int) -> DataFrame:
     if entries <= LISTED:
         return docs.join(F.broadcast(ids), "doc_id")
     sieved = _sieved(docs, ids.select("doc_id"), ids.count())
-    return sieved.where("maybe_listed").drop("maybe_listed").join(by_merge(ids), "doc_id")
+    return sieved.where("maybe_listed").drop("maybe_listed").join(by_rows(ids, entries, LISTED), "doc_id")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, both, link) of distinct pairs: common shingles, and whether the likeness suffices (runs jobs).
+def confirm(docs: DataFrame, pairs: DataFrame, count: int, words: int, percent: int) -> DataFrame:
+    """(a, b, both, link) of ``count`` distinct pairs: common shingles, and whether the likeness suffices (runs jobs).
 
     A pair of which an id names several texts is as alike as its most alike texts.
     """
     spark = docs.sparkSession
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    placed = pairs.join(by_merge(blocks), "a").select(
+    placed = pairs.join(by_rows(blocks, count, LISTED), "a").select(
         "a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("blocks"))).alias("block")
     )
     placed = stage(placed, "placed")
@@ -231,15 +231,16 @@ def components(links: DataFrame) -> DataFrame:
         "edges",
     )
     labels = stage(both.groupBy(F.col("u").alias("doc_id")).agg(F.least("doc_id", F.min("v")).alias("comp")), "labels")
+    count = labels.count()
     while True:
         near = (
-            both.join(by_merge(labels.withColumnRenamed("doc_id", "v")), "v")
+            both.join(by_rows(labels.withColumnRenamed("doc_id", "v"), count, LISTED), "v")
             .groupBy(F.col("u").alias("doc_id"))
             .agg(F.min("comp").alias("near"))
         )
-        lower = labels.join(by_merge(near), "doc_id").select("doc_id", F.least("comp", "near").alias("to"), F.col("comp").alias("was"))
+        lower = labels.join(by_rows(near, count, LISTED), "doc_id").select("doc_id", F.least("comp", "near").alias("to"), F.col("comp").alias("was"))
         heads = labels.select(F.col("doc_id").alias("to"), F.col("comp").alias("head"))
-        new = lower.join(by_merge(heads), "to").select("doc_id", F.least("to", "head").alias("comp"), "was")
+        new = lower.join(by_rows(heads, count, LISTED), "to").select("doc_id", F.least("to", "head").alias("comp"), "was")
         new = stage(new, "labels")
         if new.where("comp <> was").isEmpty():
             return new.select("doc_id", "comp")
@@ -247,16 +248,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    return rows.join(by_merge(comps), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    return rows.join(by_rows(comps, comps.count(), LISTED), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of buckets that hold more than one component, with the bucket's most common one."""
+def _mixed(rows: DataFrame, count: int) -> DataFrame:
+    """Rows of buckets that hold more than one component, with the bucket's most common one. ``count``: documents."""
     sizes = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
     several = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("size", "comp")).alias("main")
     )
-    return rows.join(by_merge(several.where("comps > 1").select("bucket", "main")), "bucket")
+    return rows.join(by_rows(several.where("comps > 1").select("bucket", "main"), count, LISTED), "bucket")
 
 
 def _shared(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -280,7 +281,7 @@ def _shared(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return once.groupBy("doc_id").agg(F.count(F.lit(1)).alias("lone"))
 
 
-def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
+def _pairs_across(rows: DataFrame, count: int, percent: int) -> DataFrame:
     """Pairs of a bucket that lie in different components and whose sizes allow a link.
 
     A link needs a common part of ``percent`` / (100 + percent) of both sizes together. It has none
@@ -306,7 +307,7 @@ def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
         & ~F.arrays_overlap(*before)
     )
     ends = F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")
-    return one.join(by_merge(two), fits).select(*ends).distinct()
+    return one.join(by_rows(two, count, LISTED), fits).select(*ends).distinct()
 
 
 def near_duplicates(
@@ -321,9 +322,10 @@ def near_duplicates(
     spark = docs.sparkSession
     docs = narrow(docs, id_col, text_col)
     known = stage(sketches(docs, words), "sketches")
+    count = known.count()
     able = known.where("n_shingles > 0 and doc_id is not null")
     classes = able.groupBy("key_hi", "key_lo").agg(F.min("doc_id").alias("rep"))
-    classed = able.join(by_merge(classes), ["key_hi", "key_lo"])
+    classed = able.join(by_rows(classes, count, LISTED), ["key_hi", "key_lo"])
     members = stage(classed.select("doc_id", "rep").distinct(), "members")
     reps = stage(
         classed.where("doc_id = rep").select("doc_id", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["doc_id", "n"]),
@@ -334,7 +336,7 @@ def near_duplicates(
 
     hubs = rows.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
     star = stage(
-        rows.join(by_merge(hubs), "bucket")
+        rows.join(by_rows(hubs, count, LISTED), "bucket")
         .where("doc_id <> a")
         .groupBy("a", F.col("doc_id").alias("b"))
         .agg(F.count(F.lit(1)).alias("shared")),
@@ -342,45 +344,46 @@ def near_duplicates(
     )
     best = star.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
     best = stage(best, "best")
-    checked = confirm(docs, best, words, percent)
+    starred = best.count()
+    checked = confirm(docs, best, starred, words, percent)
     links = checked.where("link").select("a", "b")
     # copies under one id with different texts stay one node through the class of each
     same = members.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     comps = components(links)
 
-    seen = best
-    more = star.join(by_merge(seen), ["a", "b"], "left_anti").select("a", "b")
+    seen, tried = best, starred
+    more = star.join(by_rows(seen, tried, LISTED), ["a", "b"], "left_anti").select("a", "b")
     more = _across(more, comps)
     found = stage(more, "more")
-    if not found.isEmpty():
-        links = links.unionByName(confirm(docs, found, words, percent).where("link").select("a", "b"))
-        seen = seen.unionByName(found)
+    if others := found.count():
+        links = links.unionByName(confirm(docs, found, others, words, percent).where("link").select("a", "b"))
+        seen, tried = seen.unionByName(found), tried + others
         comps = components(links)
 
     rows = _with_components(reps, comps).select("doc_id", "n", exploded, "comp")
-    rest = stage(_mixed(rows).drop("main"), "mixed")
+    rest = stage(_mixed(rows, count).drop("main"), "mixed")
     stars = checked.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), F.col("both").alias("hub_both"))
     near = rest.select("doc_id").distinct()
-    near = near.unionByName(near.join(by_merge(stars), "doc_id").select(F.col("hub").alias("doc_id"))).distinct()
+    near = near.unionByName(near.join(by_rows(stars, starred, LISTED), "doc_id").select(F.col("hub").alias("doc_id"))).distinct()
     lone = F.coalesce("lone", F.lit(0))
     rest = (
-        rest.join(by_merge(_shared(docs, stage(near, "mixed-ids"), words)), "doc_id", "left")
+        rest.join(by_rows(_shared(docs, stage(near, "mixed-ids"), words), count, LISTED), "doc_id", "left")
         .withColumn("common", F.col("n") - lone)
         .where(100 * F.col("common") >= percent * F.col("n"))
-        .join(by_merge(stars), "doc_id", "left")  # the hub is among ``near``, so it has no lone shingle of another
+        .join(by_rows(stars, starred, LISTED), "doc_id", "left")  # the hub is among ``near``, so it has no lone shingle of another
         .withColumn("hub", F.coalesce("hub", "doc_id"))
         .withColumn("hub_both", F.coalesce("hub_both", "n"))
         .withColumn("other", F.greatest(F.col("common") - F.col("hub_both"), F.lit(0)))
         .drop("lone")
     )
     bands = reps.select("doc_id", "bands").dropDuplicates(["doc_id"])
-    rest = stage(_mixed(rest), "able").join(by_merge(bands), "doc_id")
-    pairs = _pairs_across(rest, percent).join(by_merge(seen), ["a", "b"], "left_anti")
+    rest = stage(_mixed(rest, count), "able").join(by_rows(bands, count, LISTED), "doc_id")
+    pairs = _pairs_across(rest, count, percent).join(by_rows(seen, tried, LISTED), ["a", "b"], "left_anti")
     pairs = stage(pairs, "pairs")
-    if not pairs.isEmpty():
-        links = links.unionByName(confirm(docs, pairs, words, percent).where("link").select("a", "b"))
+    if across := pairs.count():
+        links = links.unionByName(confirm(docs, pairs, across, words, percent).where("link").select("a", "b"))
     comps = components(links.unionByName(same))
-    return known.join(by_merge(comps), "doc_id", "left").select(
+    return known.join(by_rows(comps, comps.count(), LISTED), "doc_id", "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("comp", "doc_id").alias("component_id"),
@@ -392,7 +395,8 @@ def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs whose ends lie in different components."""
     a = comps.select(F.col("doc_id").alias("a"), F.col("comp").alias("c_a"))
     b = comps.select(F.col("doc_id").alias("b"), F.col("comp").alias("c_b"))
-    joined = pairs.join(by_merge(a), "a", "left").join(by_merge(b), "b", "left")
+    count = comps.count()
+    joined = pairs.join(by_rows(a, count, LISTED), "a", "left").join(by_rows(b, count, LISTED), "b", "left")
     return joined.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
@@ -405,7 +409,7 @@ def remove_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -
         return docs.join(F.broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
     sieved = _sieved(docs, gone, count)
     stay, unsure = sieved.where("not maybe_listed"), sieved.where("maybe_listed")
-    unsure = unsure.join(by_merge(gone), "doc_id", "left_anti")
+    unsure = unsure.join(by_rows(gone, count, LISTED), "doc_id", "left_anti")
     return stay.select(*docs.columns).unionByName(unsure.select(*docs.columns))
 
 
